@@ -89,18 +89,16 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: s
     hot; there are fewer than HOT_SHARE of those, so they are broadcast and their rows stay where they are. The
     other groups are joined by a shuffle in which no key has more than that share.
     """
-    keys = list(keys)
     limit = max(1, total // HOT_SHARE)
     extra = [c for c in groups.columns if c not in keys]
-    hot = groups.where(F.col(size) > limit)
-    cold = groups.where(F.col(size) <= limit)
-    same = [rows[k].eqNullSafe(hot[k]) for k in keys]
-    packed = F.struct(*[hot[c] for c in extra])
-    marked = rows.join(F.broadcast(hot), same, "left").select(*[rows[c] for c in rows.columns], F.when(hot[size].isNotNull(), packed).alias("_hot"))
-    done = marked.where("_hot is not null").select(*rows.columns, *[F.col(f"_hot.{c}").alias(c) for c in extra])
-    rest = marked.where("_hot is null").drop("_hot")
-    same = [rest[k].eqNullSafe(cold[k]) for k in keys]
-    return done.unionByName(rest.join(cold, same, "left").select(*[rest[c] for c in rows.columns], *[cold[c] for c in extra]))
+    named = groups.toDF(*[f"_g_{c}" for c in groups.columns])
+    same = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
+    found = [F.col(f"_g_{c}").alias(c) for c in extra]
+    hot, cold = named.where(F.col(f"_g_{size}") > limit), named.where(F.col(f"_g_{size}") <= limit)
+    marked = rows.join(F.broadcast(hot), same, "left")
+    done = marked.where(F.col(f"_g_{size}").isNotNull()).select(*rows.columns, *found)
+    rest = marked.where(F.col(f"_g_{size}").isNull()).select(*rows.columns)
+    return done.unionByName(rest.join(cold, same, "left").select(*rows.columns, *found))
 
 
 def running_total(df: DataFrame, order: str, value: str, into: str, width: int = 4096) -> DataFrame:

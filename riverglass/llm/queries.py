@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import exact_dedup, source_mix
+from .exact_dedup import op7_exact_dedup
 from .media_columns import op2_media_columns
+from .quality_classifier import op9_quality_classifier
 from .secret_scan import op3_secret_scan
+from .source_mix import op5_source_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_media_columns": op2_media_columns,
     "op3_secret_scan": op3_secret_scan,
+    "op5_source_mix": op5_source_mix,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_source_mix": source_mix.ORACLE_SQL,
+    "op7_exact_dedup": exact_dedup.ORACLE_SQL,
+}
