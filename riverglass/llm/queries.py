@@ -12,6 +12,7 @@ from .media_columns import op2_media_columns
 from .quality_classifier import op9_quality_classifier
 from .secret_scan import op3_secret_scan
 from .source_mix import op5_source_mix
+from .token_store import op10_token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_media_columns": op2_media_columns,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_source_mix": op5_source_mix,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_token_store": op10_token_store,
 }
 
 ORACLES: dict[str, str] = {
