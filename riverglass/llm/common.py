@@ -18,9 +18,9 @@ HOT_SHARE = 1000
 ARROW_ROWS, ARROW_BYTES = 500, 8 << 20
 
 
-def tune(spark: SparkSession) -> None:
+def tune(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the Arrow batches, so that a batch of long texts stays small in the Python workers."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 

@@ -11,6 +11,7 @@ from .exact_dedup import op7_exact_dedup
 from .media_columns import op2_media_columns
 from .quality_classifier import op9_quality_classifier
 from .secret_scan import op3_secret_scan
+from .sentence_pieces import op8_sentence_pieces
 from .source_mix import op5_source_mix
 from .token_store import op10_token_store
 
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op5_source_mix": op5_source_mix,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_sentence_pieces": op8_sentence_pieces,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_store": op10_token_store,
 }
