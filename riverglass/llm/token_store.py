@@ -37,8 +37,8 @@ BLOCK_BYTES = 4 << 20
 BUCKET_KEYS = 1 << 16
 #: Bits of a level's array for each key that is left.
 GAMMA = 2.0
-#: Words kept of two generations in the encoder.
-CACHE = 200_000
+#: Words that an encoder remembers (some 200 bytes each) before it forgets them all.
+CACHE = 1_000_000
 
 _SHARD = "<4sIIII"  # magic, shard, documents, ids, bytes of an id
 _INDEX = "<4sIII"  # magic, bucket, keys, levels
@@ -80,15 +80,12 @@ class Encoder:
         for piece, i in self.library.get_vocab().items():
             lengths[i] = len(piece) if single.issuperset(piece) else 1
         self.lengths = lengths
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.new) > CACHE:
-            self.old, self.new = self.new, {}
         # words that open with a space stay words when joined, so one call encodes them; byte lengths tell them apart
         joined = [w for w in words if _SPACED.fullmatch(w)]
         if joined:
@@ -96,25 +93,19 @@ class Encoder:
             ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w.encode()) for w in joined])) + 1
             raw, at = ids.astype(self.kind).tobytes(), 0
             for word, end in zip(joined, (ends * self.width).tolist(), strict=True):
-                self.new[word] = raw[at:end]
+                self.known[word] = raw[at:end]
                 at = end
-        others = [w for w in words if w not in self.new]
+        others = [w for w in words if w not in self.known]
         for word, found in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            self.new[word] = self._bytes(found.ids)
+            self.known[word] = self._bytes(found.ids)
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
+        if len(self.known) > CACHE:
+            self.known.clear()
         words = [_WORDS.findall(x) if _PLAIN.fullmatch(x) else None for x in batch]
-        seen = set().union(*(x for x in words if x))
-        missing = []
-        for w in seen:
-            if w not in self.new:
-                if w in self.old:
-                    self.new[w] = self.old[w]
-                else:
-                    missing.append(w)
-        self._learn(sorted(missing))
-        get = self.new.__getitem__
+        self._learn(list(set().union(*(x for x in words if x)).difference(self.known)))
+        get = self.known.__getitem__
         return [self._bytes(self.library.encode(x, add_special_tokens=False).ids) if w is None else b"".join(map(get, w)) for x, w in zip(batch, words, strict=True)]
 
 
