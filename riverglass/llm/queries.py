@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup, source_mix
 from .exact_dedup import op7_exact_dedup
+from .license_scan import op1_license_scan
 from .media_columns import op2_media_columns
 from .quality_classifier import op9_quality_classifier
 from .secret_scan import op3_secret_scan
@@ -16,6 +17,7 @@ from .source_mix import op5_source_mix
 from .token_store import op10_token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_media_columns": op2_media_columns,
     "op3_secret_scan": op3_secret_scan,
     "op5_source_mix": op5_source_mix,
