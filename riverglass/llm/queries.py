@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup, source_mix
 from .exact_dedup import op7_exact_dedup
+from .jaccard_join import op6_jaccard_join
 from .license_scan import op1_license_scan
 from .media_columns import op2_media_columns
 from .quality_classifier import op9_quality_classifier
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_media_columns": op2_media_columns,
     "op3_secret_scan": op3_secret_scan,
     "op5_source_mix": op5_source_mix,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_quality_classifier": op9_quality_classifier,
