@@ -10,6 +10,7 @@ from . import exact_dedup, source_mix
 from .exact_dedup import op7_exact_dedup
 from .jaccard_join import op6_jaccard_join
 from .license_scan import op1_license_scan
+from .line_dedup import op4_line_dedup
 from .media_columns import op2_media_columns
 from .quality_classifier import op9_quality_classifier
 from .secret_scan import op3_secret_scan
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_media_columns": op2_media_columns,
     "op3_secret_scan": op3_secret_scan,
+    "op4_line_dedup": op4_line_dedup,
     "op5_source_mix": op5_source_mix,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
