@@ -115,8 +115,8 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 
 def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, key, slot, shingles, nodes) of every document."""
-    rows = texts(docs, id_col, text_col)
+    """(doc_id, mark, key, slot, shingles, nodes) of every document; mark is a hash of the text."""
+    rows = texts(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
@@ -125,9 +125,9 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             keys = [set_key(x) for x in sets]
             slots = np.array([int.from_bytes(k[:8], "little") % BITMAP_BITS for k in keys], np.int64)
             columns = [pa.array(keys, pa.binary()), pa.array(slots), pa.array([len(x) for x in sets], pa.int64()), pa.array([forest.nodes(x) for x in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "key", "slot", "shingles", "nodes"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), *columns], ["doc_id", "mark", "key", "slot", "shingles", "nodes"])
 
-    return rows.mapInArrow(sketched, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key binary, slot bigint, shingles bigint, nodes array<bigint>")
+    return rows.mapInArrow(sketched, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, mark bigint, key binary, slot bigint, shingles bigint, nodes array<bigint>")
 
 
 def _sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -230,18 +230,19 @@ def _candidates(classes: DataFrame) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Return per row of docs: doc_id, class_id, class_size, n_links.
+    """Return per row of docs: doc_id, class_id, class_size, n_links, mark, stays.
 
     Two documents are linked when their sets of shingles of WORDS words (A-Z as a-z) have a Jaccard similarity of
     threshold or more; classes are what links connect, class_id is their smallest doc_id, class_size and n_links
-    count documents. A text of fewer words is one shingle; texts without words (null and empty ones too) are copies
+    count documents. The document with the smallest id of a class stays, of rows with that id the one with the smallest
+    mark, a hash of the text (rows that repeat both are marked alike). A text of fewer words is one shingle; texts without words (null and empty ones too) are copies
     of one another. Rows that repeat an id are documents of their own; null ids are larger than any. An empty table
     gives an empty one; other columns are not read; texts are read whole. A class may hold any share of the rows.
     """
     tune(docs.sparkSession)
     rows = materialize(_sketch(docs, id_col, text_col), "sketch")
     total = rows.count()
-    classes = rows.groupBy("key", "slot").agg(F.first("shingles").alias("shingles"), F.first("nodes").alias("nodes"), F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
+    classes = rows.groupBy("key", "slot").agg(F.first("shingles").alias("shingles"), F.first("nodes").alias("nodes"), F.count("*").alias("copies"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"))
     classes = materialize(classes, "copies")
     found = _candidates(classes)
     sizes = found.groupBy("root").agg(F.count("*").alias("members"))
@@ -257,15 +258,27 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     linked = materialize(linked, "links")
     roots = components(linked.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("key", "linked_key")
     links = linked.groupBy(F.col("key").alias("links_key")).agg(F.sum("links").alias("links"))
-    known = classes.select("key", "copies", "first_id").join(links, F.col("key") == F.col("links_key"), "left").join(roots, F.col("key") == F.col("linked_key"), "left")
-    known = known.select("key", "copies", "first_id", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "key").alias("root"))
+    known = classes.select("key", "copies", "first").join(links, F.col("key") == F.col("links_key"), "left").join(roots, F.col("key") == F.col("linked_key"), "left")
+    known = known.select("key", "copies", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "key").alias("root"))
     known = materialize(known, "classes")
-    groups = known.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), F.count("*").alias("keys"))
+    groups = known.groupBy("root").agg(F.min("first").alias("head"), F.sum("copies").alias("class_size"), F.count("*").alias("keys"))
     known = join_groups(known, groups, ["root"], "keys", total)
-    known = known.select("key", "copies", "class_id", "class_size", (F.col("copies") - 1 + F.col("links")).alias("n_links"))
-    return join_groups(rows.select("doc_id", "key"), known, ["key"], "copies", total).select("doc_id", "class_id", "class_size", "n_links")
+    known = known.select("key", "copies", "head", "class_size", (F.col("copies") - 1 + F.col("links")).alias("n_links"))
+    found = join_groups(rows.select("doc_id", "mark", "key"), known, ["key"], "copies", total)
+    stays = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("mark") == F.col("head.mark"))
+    return found.select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", "n_links", "mark", stays.alias("stays"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row of docs for each class, with all columns as they are; of rows equal in id and text any one."""
+    names = docs.columns
+    id_at, text_at = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    kept = jaccard_join(docs, id_col, text_col, threshold).where("stays").select(F.xxhash64("doc_id", "mark").alias("kept")).distinct()
+    there = plain.withColumn("own", F.xxhash64(id_at, F.xxhash64(F.coalesce(text_at, F.lit("")))))
+    return there.join(kept, F.col("own") == F.col("kept"), "left_semi").dropDuplicates(["own"]).select(*plain.columns).toDF(*names)
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class and number of links of every document."""
-    return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("mark", "stays")

@@ -123,6 +123,14 @@ def score(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text_col: str
     return found.toDF("doc_id", "score", "predicted", *keep)
 
 
+def keep_good(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text is predicted good, with all columns as they are."""
+    names = docs.columns
+    plain = [f"c{i}" for i in range(len(names))]
+    found = score(docs.toDF(*plain), weights, plain[names.index(id_col)], plain[names.index(text_col)], keep=tuple(plain))
+    return found.where("predicted = 1").select(*plain).toDF(*names)
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

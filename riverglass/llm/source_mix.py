@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import join_groups, materialize, pick
@@ -23,11 +23,17 @@ LEVELS, STEP = 3, 12
 SIZE_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+def _mark(doc_id: str) -> Column:
+    """The first hexadecimal digits of the id's MD5, as a number."""
+    digits = F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, LEVELS * STEP // 4)
+    return F.conv(digits, 16, 10).cast("long")
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, mark): words in the text, and the first hexadecimal digits of the id's MD5 as a number."""
+    """(doc_id, source, size, mark): size is the number of words in the text, mark a hash of the id."""
     rows = pick(docs, doc_id=id_col, source=source_col, text=text_col)
-    digits = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, LEVELS * STEP // 4)
-    return rows.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(SIZE_PATTERN)), F.lit(0)).cast("long").alias("size"), F.conv(digits, 16, 10).cast("long").alias("mark"))
+    size = F.coalesce(F.regexp_count("text", F.lit(SIZE_PATTERN)), F.lit(0)).cast("long")
+    return rows.select("doc_id", "source", size.alias("size"), _mark("doc_id").alias("mark"))
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -74,6 +80,15 @@ def thresholds(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return found.select("source", "source_size", "rows", "target", "whole", F.coalesce("upto", F.lit(-1)).alias("upto"))
 
 
+def _plan(rows: DataFrame) -> DataFrame:
+    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    return thresholds(rows, targets(sources))
+
+
+def _times() -> Column:
+    return F.col("whole") + F.when(F.col("mark") <= F.col("upto"), 1).otherwise(0)
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Return per row of docs: doc_id, source, size, source_size, target, times, taken (= times * size).
 
@@ -83,14 +98,22 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     other columns are not read. A source may hold any share of the rows.
     """
     rows = materialize(sized(docs, id_col, text_col, source_col), "mix-rows")
-    total = rows.count()
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
-    plan = thresholds(rows, targets(sources))
-    found = join_groups(rows, plan, ["source"], "rows", total)
-    found = found.withColumn("times", F.col("whole") + F.when(F.col("mark") <= F.col("upto"), 1).otherwise(0))
+    found = join_groups(rows, _plan(rows), ["source"], "rows", rows.count()).withColumn("times", _times())
     return found.select("doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of docs as often as the mix takes them, with all columns as they are."""
+    names = docs.columns
+    id_at, source_at = f"c{names.index(id_col)}", f"c{names.index(source_col)}"
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    rows = materialize(sized(docs, id_col, text_col, source_col), "mix-rows")
+    plan = _plan(rows).withColumnRenamed("source", source_at)
+    found = join_groups(plain.withColumn("mark", _mark(id_at)), plan, [source_at], "rows", rows.count())
+    found = found.withColumn("_time", F.explode(F.sequence(F.lit(0).cast("long"), _times()))).where("_time > 0")
+    return found.select(*plain.columns).toDF(*names)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken")
