@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import running_total, scratch_path, texts, tune
+from .common import materialize, running_total, scratch_path, texts, tune
 from .wordhash import mix
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -38,7 +38,7 @@ BUCKET_KEYS = 1 << 16
 #: Bits of a level's array for each key that is left.
 GAMMA = 2.0
 #: Words that an encoder remembers (some 200 bytes each) before it forgets them all.
-CACHE = 1_000_000
+CACHE = 600_000
 
 _SHARD = "<4sIIII"  # magic, shard, documents, ids, bytes of an id
 _INDEX = "<4sIII"  # magic, bucket, keys, levels
@@ -181,11 +181,11 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
     blocks.select(F.col("block").cast("string")).write.text(path)
 
 
-def read_shards(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, with_ids: bool = False, with_crc: bool = True) -> DataFrame:
     """Return per document in shard files: doc_id, shard, offset, place (ids before it in the shard), n_tokens, ids_crc32, repeat.
 
-    ids_crc32 is over the ids as little-endian unsigned 32-bit integers; repeat tells that the document before has
-    the same id. with_ids adds the ids themselves.
+    ids_crc32 is over the ids as little-endian unsigned 32-bit integers (null without with_crc, which leaves the ids
+    unread); repeat tells that the document before has the same id. with_ids adds the ids themselves.
     """
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,14 +194,14 @@ def read_shards(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 before = 0
                 for shard, ids, keys, counts, flags, offsets in unpack_blocks(file.as_py()):
                     ends = np.cumsum(counts)
-                    wide = [ids[a:b].astype("<u4") for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+                    wide = [ids[a:b].astype("<u4") for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)] if with_crc or with_ids else []
                     columns = [
                         pa.array(keys, pa.int64(), mask=(flags & _NULL) > 0),
                         pa.array(np.full(len(keys), shard, np.int64)),
                         pa.array(offsets),
                         pa.array(before + ends - counts),
                         pa.array(counts),
-                        pa.array([zlib.crc32(x) for x in wide], pa.int64()),
+                        pa.array([zlib.crc32(x) for x in wide] if with_crc else [None] * len(keys), pa.int64()),
                         pa.array((flags & _REPEAT) > 0),
                     ]
                     names = ["doc_id", "shard", "offset", "place", "n_tokens", "ids_crc32", "repeat"]
@@ -302,7 +302,8 @@ def write_index(spark: SparkSession, shards: str, path: str) -> int:
 
     Null ids have no key. Of rows that repeat an id the first is indexed; the others follow it in the shard.
     """
-    entries = read_shards(spark, shards).where("doc_id is not null and not repeat").select("doc_id", "shard", "offset", "n_tokens")
+    entries = read_shards(spark, shards, with_crc=False).where("doc_id is not null and not repeat").select("doc_id", "shard", "offset", "n_tokens")
+    entries = materialize(entries, "index-entries")
     buckets = max(1, -(-entries.count() // BUCKET_KEYS))
 
     def built(group: pa.Table) -> pa.Table:
@@ -355,7 +356,7 @@ def read_tokens(spark: SparkSession, path: str, buckets: int, keys: DataFrame) -
     start counts the ids of all documents before it. The index gives each key's place, and the ids are read there;
     rows that repeat an id follow their first one. Documents without an id are returned as well.
     """
-    rows = read_shards(spark, f"{path}/shards")
+    rows = materialize(read_shards(spark, f"{path}/shards"), "shard-rows")
     shards = rows.groupBy("shard").agg(F.sum("n_tokens").alias("ids"))
     bases = running_total(shards, "shard", "ids", "base").select(F.col("shard").alias("base_shard"), "base")
     places = lookup(keys, f"{path}/index", buckets).select(F.col("doc_id").alias("key"), F.col("shard").alias("at_shard"), F.col("offset").alias("at"), F.col("n_tokens").alias("n"))
