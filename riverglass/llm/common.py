@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,11 @@ def ascii_lower(text: Column | str) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), value being evaluated once a row; within a lambda a plain expression is evaluated for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one set here where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)

@@ -13,9 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, texts
+from .common import ascii_lower, let, texts
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Words that stand consecutively, and the label of such a place.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -54,38 +55,25 @@ def vocabulary() -> list[str]:
 def document_counts(rows: DataFrame) -> dict[str, int]:
     """In how many of rows (doc_id, text) each word of the vocabulary occurs; one row a word reaches the driver."""
     terms = F.array(*map(F.lit, vocabulary()))
-    words = F.regexp_extract_all(ascii_lower("text"), F.lit(WORD), F.lit(0))
-    counted = rows.select(F.explode(F.array_intersect(terms, words)).alias("word")).groupBy("word").count()
-    return {r["word"]: r["count"] for r in counted.collect()}
+    found = rows.select(F.explode(F.array_intersect(terms, F.split(ascii_lower("text"), GAP))).alias("word"))
+    return {r["word"]: r["count"] for r in found.groupBy("word").count().collect()}
 
 
 def _words(text: str) -> Column:
     return F.array(*map(F.lit, text.split()))
 
 
-def _all(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
-def _standing(words: Column, at: Column, phrase: str) -> Column:
-    """Whether a phrase's words stand in words from at (0-based) on."""
-    size = len(phrase.split())
-    return (at >= 0) & F.coalesce(F.slice(words, F.greatest(at, F.lit(0)) + 1, F.lit(size)) == _words(phrase), F.lit(False))
-
-
-def _places(words: Column, phrase: str) -> Column:
-    """Where a phrase's words stand, as word numbers from 0."""
-    first = phrase.split()[0]
-    starts = F.filter(F.transform(words, lambda w, i: F.when(w == first, i)), lambda i: i.isNotNull())
-    return F.filter(starts, lambda i: _standing(words, i, phrase))
+def _templates() -> Column:
+    """The templates as one value: an array of (label, words, phrases), a phrase being (place in the words, words)."""
+    entries = []
+    for label, text, phrases in TEMPLATES:
+        places = [F.struct(F.lit(text[: text.index(p)].count(" ")).alias("at"), _words(p).alias("words")) for p in phrases]
+        entries.append(F.struct(F.lit(label).alias("label"), _words(text).alias("words"), F.array(*places).alias("phrases")))
+    return F.array(*entries)
 
 
 def _postings() -> Column:
-    """word -> array of (template, place of the word in it)."""
+    """The index as one value: word -> array of (template, place of the word in it)."""
     entries: dict[str, list[Column]] = {}
     for t, (_, text, _) in enumerate(TEMPLATES):
         for p, w in enumerate(text.split()):
@@ -93,30 +81,18 @@ def _postings() -> Column:
     return F.create_map(*[x for w, found in entries.items() for x in (F.lit(w), F.array(*found))])
 
 
-def _starts(template: int) -> Column:
-    """Where a template would start by each posting, sorted."""
-    return F.array_sort(F.transform(F.filter("found", lambda x: x["t"] == template), lambda x: x["o"]))
-
-
-def _agreed(starts: Column) -> Column:
-    """The starts on which AGREEING looked-up words or more agree."""
-    before = AGREEING - 1
-    return F.array_distinct(F.filter(starts, lambda o, i: F.when(i >= before, F.get(starts, i - before) == o).otherwise(False)))
-
-
-def _verified(template: int) -> Column:
-    """For each alignment with all mandatory phrases, the share of the template's words that stand in their places."""
-    _, text, phrases = TEMPLATES[template]
-    wording, words = text.split(), F.col("words")
-
-    def there(o: Column) -> Column:
-        return _all([_standing(words, o + text[: text.index(p)].count(" "), p) for p in phrases])
+def _standing(words: Column, at: Column, phrase: Column) -> Column:
+    """Whether a phrase's words stand in words from at (0-based) on."""
+    return (at >= 0) & (F.slice(words, F.greatest(at, F.lit(0)) + 1, F.size(phrase)) == phrase)
 
-    def share(o: Column) -> Column:
-        hits = [F.when((o + k >= 0) & (F.get(words, F.greatest(o + k, F.lit(0))) == w), 1).otherwise(0) for k, w in enumerate(wording)]
-        return reduce(lambda a, b: a + b, hits) / F.lit(float(len(wording)))
 
-    return F.transform(F.filter(f"agreed{template}", there), share)
+def _maybe(text: Column) -> Column:
+    """Whether a text has the letters of all words of some phrase; only then it can have a label."""
+    needed = [p.split() for p in BASE] + [[w for p in phrases for w in p.split()] for _, _, phrases in TEMPLATES]
+    needed = {tuple(dict.fromkeys(words)) for words in needed}
+    needed = sorted(x for x in needed if not any(set(y) < set(x) for y in needed))  # a phrase within another decides
+    every = [reduce(lambda a, b: a & b, [F.contains(text, F.lit(w)) for w in sorted(words, key=len, reverse=True)]) for words in needed]
+    return reduce(lambda a, b: a | b, every)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,29 +104,44 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = texts(docs, id_col, text_col)
     counts = document_counts(rows)
-    by_idf = sorted(vocabulary(), key=lambda w: (counts.get(w, 0), w))
-    needed = [p.split() for p in BASE] + [[w for p in phrases for w in p.split()] for _, _, phrases in TEMPLATES]
+    by_idf = F.array(*map(F.lit, sorted(vocabulary(), key=lambda w: (counts.get(w, 0), w))))
     lowered = rows.select("doc_id", ascii_lower("text").alias("text"))
-    # only a text that has all letters of some phrase's words is cut into words
-    maybe = _any([_all([F.contains("text", F.lit(w)) for w in dict.fromkeys(words)]) for words in needed])
-    cut = lowered.select("doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), F.when(maybe, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("words"))
+    cut = lowered.select("doc_id", _maybe(F.col("text")).alias("maybe"), F.array_remove(F.split("text", GAP), "").alias("words"))
+    cut = cut.select("doc_id", F.size("words").cast("long").alias("n_words"), F.when(F.col("maybe"), F.col("words")).alias("words"))
+    # where the looked-up words stand, and where each posting would have its template start
+    looked = cut.withColumn("rare", F.slice(F.array_intersect(by_idf, F.col("words")), 1, LOOKED_UP))
+    places = let(F.col("rare"), lambda rare: F.transform("words", lambda w, i: F.when(F.array_contains(rare, w), F.struct(w.alias("w"), i.alias("i")))))
+    looked = looked.withColumn("hits", F.filter(places, lambda x: x.isNotNull()))
+    starts = F.flatten(F.transform("hits", lambda h: F.transform(_postings()[h["w"]], lambda x: F.struct(x["t"].alias("t"), (h["i"] - x["p"]).alias("o")))))
+    looked = looked.withColumn("starts", F.array_sort(starts))
+    before = AGREEING - 1
+    agreed = let(F.col("starts"), lambda starts: F.filter(starts, lambda x, i: F.when(i >= before, F.get(starts, i - before) == x).otherwise(False)))
+    looked = looked.withColumn("agreed", F.array_distinct(agreed))
+
+    def template(x: Column) -> Column:
+        return F.get(_templates(), x["t"])
+
+    def share(words: Column, x: Column) -> Column:
+        hits = F.filter(template(x)["words"], lambda w, k: F.when(x["o"] + k >= 0, F.get(words, F.greatest(x["o"] + k, F.lit(0))) == w).otherwise(False))
+        return F.size(hits) / F.size(template(x)["words"])
+
     words = F.col("words")
-    looked = cut.withColumn("rare", F.slice(F.array_intersect(F.array(*map(F.lit, by_idf)), words), 1, LOOKED_UP))
-    hits = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains("rare", w), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull())
-    looked = looked.withColumn("hits", hits).withColumn("postings", F.when(words.isNotNull(), _postings()))
-    found = F.flatten(F.transform("hits", lambda h: F.transform(F.col("postings")[h["w"]], lambda x: F.struct(x["t"].alias("t"), (h["i"] - x["p"]).alias("o")))))
-    looked = looked.withColumn("found", found)
-    n = range(len(TEMPLATES))
-    looked = looked.select("doc_id", "n_words", "words", *[_starts(t).alias(f"starts{t}") for t in n])
-    looked = looked.select("doc_id", "n_words", "words", *[_agreed(F.col(f"starts{t}")).alias(f"agreed{t}") for t in n])
-    places = F.flatten(F.array(*[_labelled(_places(words, p), label, "start") for p, label in BASE.items()]))
-    scores = F.flatten(F.array(*[_labelled(_verified(t), TEMPLATES[t][0], "score") for t in n]))
-    none = [F.expr("cast(array() as array<struct<label:string,start:int>>)"), F.expr("cast(array() as array<struct<label:string,score:double>>)")]
-    return looked.select("doc_id", "n_words", F.coalesce(places, none[0]).alias("base_places"), F.coalesce(scores, none[1]).alias("template_scores"))
+    verified = let(words, lambda words: F.filter("agreed", lambda x: F.forall(template(x)["phrases"], lambda p: _standing(words, x["o"] + p["at"], p["words"]))))
+    looked = looked.withColumn("verified", verified)
+    scores = let(words, lambda words: F.transform("verified", lambda x: F.struct(template(x)["label"].alias("label"), share(words, x).alias("score"))))
 
+    phrases = F.array(*[F.struct(F.lit(label).alias("label"), _words(p).alias("words")) for p, label in BASE.items()])
+    firsts = F.transform("words", lambda w, i: F.when(w.isin(*{p.split()[0] for p in BASE}), i))
+    looked = looked.withColumn("firsts", F.filter(firsts, lambda i: i.isNotNull()))
 
-def _labelled(values: Column, label: str, name: str) -> Column:
-    return F.transform(values, lambda x: F.struct(F.lit(label).alias("label"), x.alias(name)))
+    def places_of(b: Column, at: Column) -> Column:
+        standing = F.filter(at["firsts"], lambda i: _standing(at["words"], i, b["words"]))
+        return F.transform(standing, lambda i: F.struct(b["label"].alias("label"), i.alias("start")))
+
+    base = let(F.struct("words", "firsts"), lambda at: F.flatten(F.transform(phrases, lambda b: places_of(b, at))))
+    base = F.when(words.isNotNull(), base)
+    none = [F.expr("cast(array() as array<struct<label:string,start:int>>)"), F.expr("cast(array() as array<struct<label:string,score:double>>)")]
+    return looked.select("doc_id", "n_words", F.coalesce(base, none[0]).alias("base_places"), F.coalesce(scores, none[1]).alias("template_scores"))
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

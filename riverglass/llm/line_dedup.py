@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, join_groups, materialize, pick, tune
+from .common import ascii_lower, join_groups, let, materialize, pick, tune
 from .exact_dedup import marked, repeated
 
 #: Words that an aligned block must have to be deleted.
@@ -155,8 +155,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _without(lines: Column, gone: Column) -> Column:
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    def left(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    return let(lines, left)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
