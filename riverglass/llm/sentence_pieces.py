@@ -26,9 +26,10 @@ SPACE = "▁"
 UNIGRAM, MERGES = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
 #: Words, and pairs of pieces, that a process remembers (two generations of each).
-CACHE = 200_000
-#: Rows of an Arrow batch: the more words are sorted together, the more their passes share.
-ROWS = 2000
+CACHE = 150_000
+#: Rows of an Arrow batch, and characters of the texts encoded together: the more words are sorted together, the more
+#: their passes share, and the more memory they take.
+ROWS, GROUP = 2000, 3 << 20
 _UNSEEN = -1
 
 
@@ -193,6 +194,17 @@ class Pieces:
             yield out[::-1]
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
+        """The ids of each text, some texts at a time."""
+        out: list[np.ndarray] = []
+        first, size = 0, 0
+        for n, x in enumerate(batch):
+            size += len(x)
+            if size > GROUP or n == len(batch) - 1:
+                out += self._encode(batch[first : n + 1])
+                first, size = n + 1, 0
+        return out
+
+    def _encode(self, batch: list[str]) -> list[np.ndarray]:
         """The ids of each text; words that were met before are remembered."""
         words = [self.cut.findall((SPACE * self.prefix + x).replace(" ", SPACE)) if x else [] for x in batch]
         if len(self.new) > CACHE:
@@ -256,8 +268,8 @@ def decode_pieces(encoded: DataFrame, model: str | None = None, ids_col: str = "
         code = pieces(path)
         for batch in batches:
             column = batch.column(place)
-            starts, flat = column.offsets.to_pylist(), column.values.to_pylist()
-            texts = [code.decode(flat[a:b]) for a, b in zip(starts, starts[1:], strict=False)]
+            starts, flat = column.offsets.to_pylist(), column.values.to_numpy()
+            texts = [code.decode(flat[a:b].tolist()) for a, b in zip(starts, starts[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     plain = encoded.toDF(*[f"c{i}" for i in range(len(names))])

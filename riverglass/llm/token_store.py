@@ -34,7 +34,7 @@ END_ID = 2
 #: A block is closed beyond so many bytes of ids; a document never spans blocks.
 BLOCK_BYTES = 4 << 20
 #: Keys of an index bucket, about.
-BUCKET_KEYS = 1 << 16
+BUCKET_KEYS = 1 << 13
 #: Bits of a level's array for each key that is left.
 GAMMA = 2.0
 #: Words that an encoder remembers (some 200 bytes each) before it forgets them all.
