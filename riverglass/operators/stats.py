@@ -46,10 +46,10 @@ def score_stats(scores: DataFrame, keys: Sequence[str], threshold: float = 1.0,
     return found.withColumn("threshold", F.lit(threshold)).withColumn("anomaly_ratio", F.when(F.col("count") > 0, F.col("anomaly_count") / F.col("count")).otherwise(0.0))
 
 
-def collected_ids(rows: DataFrame, keys: Sequence[str], order: Sequence[str], **ids: str) -> DataFrame:
+def collected_ids(rows: DataFrame, by: Sequence[str], order: Sequence[str], /, **ids: str) -> DataFrame:
     """Per key: message_count and arrays of ids in order."""
     listed = [_listed(order, c).alias(name) for name, c in ids.items()]
-    return rows.groupBy(*keys).agg(F.count("*").alias("message_count"), *listed)
+    return rows.groupBy(*by).agg(F.count("*").alias("message_count"), *listed)
 
 
 def _listed(order: Sequence[str], column: str) -> Column:
