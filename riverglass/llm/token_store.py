@@ -181,11 +181,11 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
     blocks.select(F.col("block").cast("string")).write.text(path)
 
 
-def read_shards(spark: SparkSession, path: str, with_ids: bool = False, with_crc: bool = True) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """Return per document in shard files: doc_id, shard, offset, place (ids before it in the shard), n_tokens, ids_crc32, repeat.
 
-    ids_crc32 is over the ids as little-endian unsigned 32-bit integers (null without with_crc, which leaves the ids
-    unread); repeat tells that the document before has the same id. with_ids adds the ids themselves.
+    ids_crc32 is over the ids as little-endian unsigned 32-bit integers; repeat tells that the document before has
+    the same id. with_ids adds the ids themselves.
     """
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,14 +194,14 @@ def read_shards(spark: SparkSession, path: str, with_ids: bool = False, with_crc
                 before = 0
                 for shard, ids, keys, counts, flags, offsets in unpack_blocks(file.as_py()):
                     ends = np.cumsum(counts)
-                    wide = [ids[a:b].astype("<u4") for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)] if with_crc or with_ids else []
+                    wide = [ids[a:b].astype("<u4") for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
                     columns = [
                         pa.array(keys, pa.int64(), mask=(flags & _NULL) > 0),
                         pa.array(np.full(len(keys), shard, np.int64)),
                         pa.array(offsets),
                         pa.array(before + ends - counts),
                         pa.array(counts),
-                        pa.array([zlib.crc32(x) for x in wide] if with_crc else [None] * len(keys), pa.int64()),
+                        pa.array([zlib.crc32(x) for x in wide], pa.int64()),
                         pa.array((flags & _REPEAT) > 0),
                     ]
                     names = ["doc_id", "shard", "offset", "place", "n_tokens", "ids_crc32", "repeat"]
@@ -297,13 +297,12 @@ def _bucket(buckets: int):
     return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("bucket")
 
 
-def write_index(spark: SparkSession, shards: str, path: str) -> int:
-    """Index the documents of shard files by id; return the number of buckets.
+def write_index(rows: DataFrame, path: str) -> int:
+    """Index the documents of read_shards()'s rows by id; return the number of buckets.
 
     Null ids have no key. Of rows that repeat an id the first is indexed; the others follow it in the shard.
     """
-    entries = read_shards(spark, shards, with_crc=False).where("doc_id is not null and not repeat").select("doc_id", "shard", "offset", "n_tokens")
-    entries = materialize(entries, "index-entries")
+    entries = rows.where("doc_id is not null and not repeat").select("doc_id", "shard", "offset", "n_tokens")
     buckets = max(1, -(-entries.count() // BUCKET_KEYS))
 
     def built(group: pa.Table) -> pa.Table:
@@ -344,22 +343,23 @@ def lookup(keys: DataFrame, index: str, buckets: int) -> DataFrame:
     return asked.groupBy("bucket").cogroup(blocks.groupBy("bucket")).applyInArrow(found, "doc_id bigint, shard bigint, offset bigint, n_tokens bigint")
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> int:
-    """Write path/shards and path/index; return the number of index buckets."""
+def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """Write path/shards and path/index; return what read_shards() finds there, kept as a table, and the index's buckets."""
     write_shards(docs, f"{path}/shards", vocabulary or vocabulary_path(), id_col=id_col, text_col=text_col)
-    return write_index(docs.sparkSession, f"{path}/shards", f"{path}/index")
+    rows = materialize(read_shards(docs.sparkSession, f"{path}/shards"), "shard-rows")
+    return rows, write_index(rows, f"{path}/index")
 
 
-def read_tokens(spark: SparkSession, path: str, buckets: int, keys: DataFrame) -> DataFrame:
-    """Return per document that a key finds: doc_id, start, n_tokens, ids_crc32.
+def read_tokens(rows: DataFrame, index: str, buckets: int, keys: DataFrame) -> DataFrame:
+    """Return per document in shards that a key finds: doc_id, start, n_tokens, ids_crc32.
 
-    start counts the ids of all documents before it. The index gives each key's place, and the ids are read there;
-    rows that repeat an id follow their first one. Documents without an id are returned as well.
+    rows are read_shards()'s. start counts the ids of all documents before it. The index gives each key's place, and
+    the document there is the key's; rows that repeat an id follow their first one. Documents without an id are
+    returned as well.
     """
-    rows = materialize(read_shards(spark, f"{path}/shards"), "shard-rows")
     shards = rows.groupBy("shard").agg(F.sum("n_tokens").alias("ids"))
     bases = running_total(shards, "shard", "ids", "base").select(F.col("shard").alias("base_shard"), "base")
-    places = lookup(keys, f"{path}/index", buckets).select(F.col("doc_id").alias("key"), F.col("shard").alias("at_shard"), F.col("offset").alias("at"), F.col("n_tokens").alias("n"))
+    places = lookup(keys, index, buckets).select(F.col("doc_id").alias("key"), F.col("shard").alias("at_shard"), F.col("offset").alias("at"), F.col("n_tokens").alias("n"))
     exact = (F.col("offset") == F.col("at")) & (F.col("n_tokens") == F.col("n"))
     found = rows.where("doc_id is not null").join(places, F.col("doc_id") == F.col("key")).where((F.col("shard") == F.col("at_shard")) & (exact | F.col("repeat")))
     found = found.select(*rows.columns).unionByName(rows.where("doc_id is null"))
@@ -371,5 +371,5 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents, index them, and read every one back by its key."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = scratch_path(spark, "token-store")
-    buckets = write_tokens(docs, path)
-    return read_tokens(spark, path, buckets, docs.select("doc_id"))
+    rows, buckets = write_tokens(docs, path)
+    return read_tokens(rows, f"{path}/index", buckets, docs.select("doc_id"))
