@@ -36,8 +36,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document's text, and the text that they decode to."""
-    ids = sentence_pieces.encode_pieces(docs, keep=("lang", "source"))
-    return sentence_pieces.decode_pieces(ids).select("doc_id", "lang", "source", "n_pieces", "ids", "ids_crc32", "decoded")
+    found = sentence_pieces.encode_pieces(docs, keep=("lang", "source"))
+    return found.select("doc_id", "lang", "source", "n_pieces", "ids", "ids_crc32", "decoded")
 
 
 STAGES = [

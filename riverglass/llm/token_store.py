@@ -37,8 +37,8 @@ BLOCK_BYTES = 4 << 20
 BUCKET_KEYS = 1 << 13
 #: Bits of a level's array for each key that is left.
 GAMMA = 2.0
-#: Words that an encoder remembers (some 200 bytes each) before it forgets them all.
-CACHE = 600_000
+#: Words that an encoder remembers, some 200 bytes each; the first ones, among which are the frequent ones.
+CACHE = 400_000
 
 _SHARD = "<4sIIII"  # magic, shard, documents, ids, bytes of an id
 _INDEX = "<4sIII"  # magic, bucket, keys, levels
@@ -101,12 +101,15 @@ class Encoder:
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
-        if len(self.known) > CACHE:
-            self.known.clear()
         words = [_WORDS.findall(x) if _PLAIN.fullmatch(x) else None for x in batch]
-        self._learn(list(set().union(*(x for x in words if x)).difference(self.known)))
+        new = list(set().union(*(x for x in words if x)).difference(self.known))
+        self._learn(new)
         get = self.known.__getitem__
-        return [self._bytes(self.library.encode(x, add_special_tokens=False).ids) if w is None else b"".join(map(get, w)) for x, w in zip(batch, words, strict=True)]
+        out = [self._bytes(self.library.encode(x, add_special_tokens=False).ids) if w is None else b"".join(map(get, w)) for x, w in zip(batch, words, strict=True)]
+        if len(self.known) > CACHE:
+            for w in new:
+                del self.known[w]
+        return out
 
 
 @lru_cache(maxsize=1)
