@@ -14,7 +14,7 @@ PERMISSIVE = {"mode": "PERMISSIVE"}
 
 def parse_message(value: Column) -> Column:
     """A message from JSON; measurements fall back to the numeric fields of a flat object where that key is missing."""
-    message = F.from_json(value, schemas.MESSAGE, PERMISSIVE)
+    message = F.from_json(value, schemas.MESSAGE_DDL, PERMISSIVE)
     return message.withField("measurements", F.coalesce(message["measurements"], numeric_map(value)))
 
 

@@ -1,19 +1,13 @@
-"""Record types as Spark schemas. Times are epoch milliseconds; enumerations are plain strings."""
+"""Record types as DDL strings, which Spark takes wherever it takes a schema. Times are epoch milliseconds; enumerations are plain strings."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 STAGES = ("RAW", "EDGE_PREPROCESSED", "EDGE_AGGREGATED", "EDGE_DEDUPED", "CLOUD_RECEIVED", "CLOUD_SCORED", "CLOUD_ALERTED")
 ALERT_TYPES = ("SINGLE_POINT", "WINDOW_AGGREGATE", "TREND_DETECTION", "PATTERN_MATCH", "SYSTEM_ERROR", "NETWORK_DISCONNECT", "CLOCK_DRIFT")
 SEVERITIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
 ALERT_STATES = ("NEW", "ESCALATED", "ACKNOWLEDGED", "RESOLVED", "DISMISSED")
 
 
-def _struct(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
-
-
 MESSAGE_DDL = (
     "message_id string, idempotency_key string, sequence_number bigint, device_id string, edge_timestamp_ms bigint, "
     "cloud_timestamp_ms bigint, corrected_timestamp_ms bigint, clock_offset_ms bigint, measurements map<string,double>, "
@@ -55,5 +49,3 @@ def group_measures(groups: dict[str, range]) -> dict[str, list[str]]:
     """The names of each group's measures."""
     return {name: [f"xmeas_{i}" for i in numbers] for name, numbers in groups.items()}
 
-
-MESSAGE, WINDOW, ALERT, POINT, OUTBOX, CSV = (_struct(x) for x in (MESSAGE_DDL, WINDOW_DDL, ALERT_DDL, POINT_DDL, OUTBOX_DDL, CSV_DDL))

@@ -17,7 +17,7 @@ def json_messages(spark: SparkSession, path: str, streaming: bool = False, files
 
 def process_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """A process simulation's CSV, by its fixed schema, so nothing is read to infer one."""
-    return spark.read.schema(schemas.CSV).option("header", header).csv(path)
+    return spark.read.schema(schemas.CSV_DDL).option("header", header).csv(path)
 
 
 def stamped(messages: DataFrame, device: str, latency_ms: int = 10) -> DataFrame:
