@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,29 @@ def tune(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def trimmed(batches: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function over batches, after which a worker gives memory it no longer needs back to the system.
+
+    Workers outlive their tasks, and what their allocators hold counts against the executor.
+    """
+
+    def run(it: Iterator) -> Iterator:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        try:
+            yield from batches(it)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def pick(df: DataFrame, **wanted: str) -> DataFrame:
     """Select columns by exact name, as alias=name.
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_groups, materialize, pick, texts, tune
+from .common import join_groups, materialize, pick, texts, trimmed, tune
 from .components import components
 from .exact_dedup import BITMAP_BITS, marked, repeated
 from .wordhash import chunks, cut, mix
@@ -127,7 +127,7 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             columns = [pa.array(keys, pa.binary()), pa.array(slots), pa.array([len(x) for x in sets], pa.int64()), pa.array([forest.nodes(x) for x in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), *columns], ["doc_id", "mark", "key", "slot", "shingles", "nodes"])
 
-    return rows.mapInArrow(sketched, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, mark bigint, key binary, slot bigint, shingles bigint, nodes array<bigint>")
+    return rows.mapInArrow(trimmed(sketched), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, mark bigint, key binary, slot bigint, shingles bigint, nodes array<bigint>")
 
 
 def _sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def _sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["key", "set"])
 
     rows = pick(docs, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    return rows.mapInArrow(selected, "key binary, set binary").groupBy("key").agg(F.first("set").alias("set"))
+    return rows.mapInArrow(trimmed(selected), "key binary, set binary").groupBy("key").agg(F.first("set").alias("set"))
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:

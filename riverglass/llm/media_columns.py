@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import texts, tune
+from .common import texts, trimmed, tune
 
 BLOCK, RATE = 64, 8000
 WINDOW, HOP = 256, 128
@@ -102,7 +102,7 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     tune(docs.sparkSession)
     rows = texts(docs, id_col, text_col)
-    return rows.mapInArrow(_encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, media binary")
+    return rows.mapInArrow(trimmed(_encode), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, media binary")
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +133,7 @@ def media_features(media: DataFrame) -> DataFrame:
     """
     kind = media.schema["doc_id"].dataType.simpleString()
     return media.mapInArrow(
-        _features,
+        trimmed(_features),
         f"doc_id {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, fp_times array<int>, fp_hashes array<int>, media_bytes bigint, media_sha256 string",
     )
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, texts, tune
+from .common import pick, texts, trimmed, tune
 from .wordhash import MARK, chunks, cut, mix
 
 BITS = 18
@@ -92,7 +92,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.orderBy("place", "doc_id", "label").limit(sample)
     rows = texts(docs, id_col, text_col).join(F.broadcast(known), "doc_id")
     rows = rows.repartition(1).sortWithinPartitions("place", "doc_id", "label", "text").select("text", "label")
-    return bytes(rows.mapInArrow(_train, "weights binary").first()[0])
+    found = rows.mapInArrow(trimmed(_train), "weights binary").first()
+    return bytes(found[0]) if found else train([]).tobytes()
 
 
 def score(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -119,7 +120,7 @@ def score(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text_col: str
     kept = {f"k{i}": name for i, name in enumerate(keep)}
     rows = pick(docs, doc_id=id_col, text=text_col, **kept).withColumn("text", F.coalesce("text", F.lit("")))
     kind = [f"{alias} {rows.schema[alias].dataType.simpleString()}" for alias in ("doc_id", *kept)]
-    found = rows.mapInArrow(scored, ", ".join([kind[0], "score double", "predicted int", *kind[1:]]))
+    found = rows.mapInArrow(trimmed(scored), ", ".join([kind[0], "score double", "predicted int", *kind[1:]]))
     return found.toDF("doc_id", "score", "predicted", *keep)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import texts, tune
+from .common import texts, trimmed, tune
 
 #: The order of kinds at one start.
 KINDS = ("assign", "access", "hex", "jwt", "pem", "der")
@@ -147,7 +147,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     tune(docs.sparkSession)
     rows = texts(docs, id_col, text_col)
-    return rows.mapInArrow(_scan, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, spans array<struct<kind:string,start:bigint,end:bigint>>")
+    return rows.mapInArrow(trimmed(_scan), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

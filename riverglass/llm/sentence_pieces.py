@@ -19,17 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, tune
+from .common import pick, trimmed, tune
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 UNIGRAM, MERGES = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
 #: Words that a process remembers, the first ones, among which are the frequent ones; and four times as many pairs.
-CACHE = 150_000
+CACHE = 120_000
 #: Rows of an Arrow batch, and characters of the texts encoded together: the more words are sorted together, the more
 #: their passes share, and the more memory they take.
-ROWS, GROUP = 2000, 3 << 20
+ROWS, GROUP = 1000, 3 << 19
 _UNSEEN = -1
 
 
@@ -251,7 +251,7 @@ def encode_pieces(docs: DataFrame, model: str | None = None, id_col: str = "doc_
     kept = {f"k{i}": name for i, name in enumerate(keep)}
     rows = pick(docs, doc_id=id_col, text=text_col, **kept)
     kind = {alias: f"{alias} {rows.schema[alias].dataType.simpleString()}" for alias in ("doc_id", *kept)}
-    found = rows.mapInArrow(encoded, ", ".join([kind["doc_id"], "n_pieces bigint, ids array<int>, ids_crc32 bigint, decoded string", *(kind[k] for k in kept)]))
+    found = rows.mapInArrow(trimmed(encoded), ", ".join([kind["doc_id"], "n_pieces bigint, ids array<int>, ids_crc32 bigint, decoded string", *(kind[k] for k in kept)]))
     return found.toDF("doc_id", "n_pieces", "ids", "ids_crc32", "decoded", *keep)
 
 
@@ -271,7 +271,7 @@ def decode_pieces(encoded: DataFrame, model: str | None = None, ids_col: str = "
 
     plain = encoded.toDF(*[f"c{i}" for i in range(len(names))])
     kind = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(encoded.schema))
-    return plain.mapInArrow(decoded, f"{kind}, decoded string").toDF(*names, into)
+    return plain.mapInArrow(trimmed(decoded), f"{kind}, decoded string").toDF(*names, into)
 
 
 def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, running_total, scratch_path, texts, tune
+from .common import materialize, running_total, scratch_path, texts, trimmed, tune
 from .wordhash import mix
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -180,7 +180,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    blocks = rows.mapInArrow(packed, "block binary")
+    blocks = rows.mapInArrow(trimmed(packed), "block binary")
     blocks.select(F.col("block").cast("string")).write.text(path)
 
 
@@ -214,7 +214,7 @@ def read_shards(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                     before += int(counts.sum())
 
     kind = "doc_id bigint, shard bigint, offset bigint, place bigint, n_tokens bigint, ids_crc32 bigint, repeat boolean" + ", ids array<bigint>" * with_ids
-    return _files(spark, path).mapInArrow(opened, kind)
+    return _files(spark, path).mapInArrow(trimmed(opened), kind)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
