@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import parsing, schemas
 from ..operators import alerts, quality, scoring, windows
 from .config import Config
-from .processors import FirstSeen, ForestScorer, Suppressor
+from .processors import EdgeScorer, Suppressor
 from .sinks import Batch
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -52,11 +52,9 @@ def edge_scores(messages: DataFrame, config: Config) -> DataFrame:
     """A stream of messages flagged by their keys and scored by group; needs the RocksDB state store."""
     kept = messages.withColumn("event_time", F.timestamp_millis("edge_timestamp_ms")).withWatermark("event_time", config.edge_watermark)
     split = vectors(kept)
-    flagged = split.groupBy("device_id", "group").transformWithStateInPandas(
-        FirstSeen(), outputStructType=f"{MESSAGE}, group string, vector array<double>, is_duplicate boolean", outputMode="append", timeMode="processingTime"
-    )
-    scorer = ForestScorer(trees=config.trees, size=config.sample_size, decay=config.decay, seed=config.seed)
-    return flagged.groupBy("device_id", "group").transformWithStateInPandas(scorer, outputStructType=f"{MESSAGE}, group string, is_duplicate boolean, score double", outputMode="append", timeMode="none")
+    scorer = EdgeScorer(trees=config.trees, size=config.sample_size, decay=config.decay, seed=config.seed)
+    kind = f"{MESSAGE}, group string, is_duplicate boolean, score double"
+    return split.groupBy("device_id", "group").transformWithStateInPandas(scorer, outputStructType=kind, outputMode="append", timeMode="processingTime")
 
 
 def score_alerts(scores: DataFrame, config: Config, time: str = "edge_timestamp_ms") -> DataFrame:
@@ -74,7 +72,13 @@ def suppressed(found: DataFrame, config: Config) -> DataFrame:
 
 
 def start(stream: DataFrame, sink: Batch, checkpoint: str, config: Config, once: bool = False) -> StreamingQuery:
-    """Run a stream into a sink; the checkpoint keeps offsets and state, the sink replaces a batch that comes again."""
+    """Run a stream into a sink; the checkpoint keeps offsets and state, the sink replaces a batch that comes again.
+
+    once ends when all that is there is read. State with a time to live asks for batches without data for ever, which
+    a run that should end must not have.
+    """
+    if once:
+        stream.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=config.trigger)).start()
 

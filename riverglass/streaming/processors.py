@@ -12,40 +12,19 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..operators.forest import Forest
 
 
-class FirstSeen(StatefulProcessor):
-    """Adds is_duplicate: whether a row's idempotency_key was seen within the state's time to live."""
+class EdgeScorer(StatefulProcessor):
+    """Adds is_duplicate, whether a row's idempotency_key was seen within the time to live, and score.
 
-    def __init__(self, ttl_ms: int = 86_400_000):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "idempotency_key string", "at bigint", ttlDurationMs=self.ttl_ms)
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            batch = batch.sort_values(["edge_timestamp_ms", "sequence_number"], kind="stable")
-            flags = []
-            for k, at in zip(batch["idempotency_key"], batch["edge_timestamp_ms"], strict=True):
-                known = self.seen.containsKey((k,))
-                flags.append(known)
-                if not known:
-                    self.seen.updateValue((k,), (int(at),))
-            yield batch.assign(is_duplicate=flags)
-
-    def close(self) -> None:
-        return None
-
-
-class ForestScorer(StatefulProcessor):
-    """Adds score: each row's vector by the key's forest, which then learns it; duplicates pass unscored.
-
-    The forest is one pickled value of the state, bounded by trees times sample size.
+    A row's vector is scored by the key's forest, which then learns it; duplicates and null vectors pass unscored. One
+    processor does both, so a task has one stateful worker. The forest is one pickled value of the state, bounded by
+    trees times sample size.
     """
 
-    def __init__(self, **forest: Any):
-        self.settings = forest
+    def __init__(self, ttl_ms: int = 86_400_000, **forest: Any):
+        self.ttl_ms, self.settings = ttl_ms, forest
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", "idempotency_key string", "at bigint", ttlDurationMs=self.ttl_ms)
         self.state = handle.getValueState("forest", "forest binary, scored bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
@@ -53,16 +32,20 @@ class ForestScorer(StatefulProcessor):
         forest, scored = (pickle.loads(held[0]), held[1]) if held else (Forest(**self.settings), 0)
         for batch in rows:
             batch = batch.sort_values(["edge_timestamp_ms", "sequence_number"], kind="stable")
-            scores = []
-            for vector, duplicate in zip(batch["vector"], batch["is_duplicate"], strict=True):
-                if duplicate or vector is None:
-                    scores.append(None)
+            flags, scores = [], []
+            for k, at, vector in zip(batch["idempotency_key"], batch["edge_timestamp_ms"], batch["vector"], strict=True):
+                known = self.seen.containsKey((k,))
+                flags.append(known)
+                scores.append(None)
+                if known:
                     continue
-                point = [float(x) for x in vector]
-                scores.append(forest.score(point))
-                forest.update(point)
-                scored += 1
-            yield batch.drop(columns=["vector"]).assign(score=pd.Series(scores, index=batch.index, dtype="float64"))
+                self.seen.updateValue((k,), (int(at),))
+                if vector is not None:
+                    point = [float(x) for x in vector]
+                    scores[-1] = forest.score(point)
+                    forest.update(point)
+                    scored += 1
+            yield batch.drop(columns=["vector"]).assign(is_duplicate=flags, score=pd.Series(scores, index=batch.index, dtype="float64"))
         self.state.update((pickle.dumps(forest), scored))
 
     def close(self) -> None:
