@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import parsing, schemas
 from ..operators import alerts, quality, scoring, windows
 from .config import Config
-from .processors import EdgeScorer, Suppressor
+from .processors import EdgeScorer, Suppressor, WindowAcceptor
 from .sinks import Batch
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -57,6 +57,13 @@ def edge_scores(messages: DataFrame, config: Config) -> DataFrame:
     return split.groupBy("device_id", "group").transformWithStateInPandas(scorer, outputStructType=kind, outputMode="append", timeMode="processingTime")
 
 
+def accepted_windows(stream: DataFrame, config: Config) -> DataFrame:
+    """A stream of windows (window_key, idempotency_keys, bounds) without those that were received before, by device."""
+    timed = stream.withColumn("event_time", F.timestamp_millis("window_end_ms")).withWatermark("event_time", config.cloud_watermark).drop("event_time")
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in timed.schema)
+    return timed.groupBy("device_id").transformWithStateInPandas(WindowAcceptor(), outputStructType=kind, outputMode="append", timeMode="processingTime")
+
+
 def score_alerts(scores: DataFrame, config: Config, time: str = "edge_timestamp_ms") -> DataFrame:
     """Alerts from scores above the threshold, routed; before suppression."""
     held = scores.where("score is not null").withColumn("threshold", F.lit(config.secondary_threshold))

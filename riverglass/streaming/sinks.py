@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import DAY_MS
+from ..operators import outbox
 
 Batch = Callable[[DataFrame, int], None]
 
@@ -153,3 +154,41 @@ def routed_batch(*outputs: tuple[Callable[[DataFrame], DataFrame], Batch]) -> Ba
             df.unpersist()
 
     return write
+
+
+def drain(box: DataFrame, now_ms: int, send: Callable[[Row], bool], n: int = 10) -> DataFrame:
+    """Send up to n waiting messages of an outbox; the outbox without those sent, and with a retry more for those not.
+
+    Only the n messages come to the driver.
+    """
+    spark = box.sparkSession
+    sent = [(r["message_id"], bool(send(r))) for r in outbox.take(box, n, now_ms).collect()]
+    done = spark.createDataFrame([(m,) for m, ok in sent if ok], "message_id string")
+    failed = spark.createDataFrame([(m, True) for m, ok in sent if not ok], "message_id string, retry boolean")
+    return outbox.fail(outbox.confirm(box, done), failed, now_ms)
+
+
+def kept_offline(windows: DataFrame, now_ms: int, urgent: float = 1.5) -> DataFrame:
+    """Windows (window_id, window_end_ms, max) that could not be sent, as outbox messages; priority 1 for scores above urgent."""
+    return windows.select(
+        F.col("window_id").alias("message_id"),
+        F.to_json(F.struct(*windows.columns)).alias("payload"),
+        F.col("window_end_ms").alias("original_timestamp_ms"),
+        F.lit(now_ms).alias("stored_timestamp_ms"),
+        F.lit(0).cast("long").alias("last_retry_timestamp_ms"),
+        F.lit(0).alias("retry_count"),
+        F.when(F.col("max") > urgent, 1).otherwise(0).alias("priority"),
+        F.lit(True).alias("is_persisted"),
+    )
+
+
+def send_or_keep(send: Callable[[DataFrame, int], None], keep: Batch, now_ms: Callable[[], int]) -> Batch:
+    """A batch's windows are sent; where that fails they go to the outbox sink instead, and the stream goes on."""
+
+    def write(df: DataFrame, batch: int) -> None:
+        try:
+            send(df, batch)
+        except OSError:
+            keep(kept_offline(df, now_ms()), batch)
+
+    return write

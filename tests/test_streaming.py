@@ -7,7 +7,6 @@ from riverglass.operators import quality
 from riverglass.sources import queue, readers, simulator
 from riverglass.streaming import jobs, sinks
 from riverglass.streaming.config import Config, parse_arguments
-from riverglass.streaming.processors import WindowAcceptor
 
 
 @pytest.fixture
@@ -65,8 +64,7 @@ def test_stream_acceptance_equals_batch(spark, tmp_path, collected):
     df.coalesce(1).write.parquet(str(tmp_path / "w"))
     jobs.use_rocksdb(spark)
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "w"))
-    kept = stream.groupBy("device_id").transformWithStateInPandas(WindowAcceptor(), outputStructType=df.schema, outputMode="append", timeMode="processingTime")
-    jobs.start(kept, sink, str(tmp_path / "c"), Config(), once=True).awaitTermination()
+    jobs.start(jobs.accepted_windows(stream, Config()), sink, str(tmp_path / "c"), Config(), once=True).awaitTermination()
     batch = quality.accept_windows(df, ttl_ms=None).where("accepted").collect()
     assert sorted((r.device_id, r.window_key) for r in rows) == sorted((r.device_id, r.window_key) for r in batch)
 
@@ -121,6 +119,21 @@ def test_notifications_and_fan_out(spark):
     assert [a.timestamp_ms for a in log.alerts] == list(range(25)) and len(sns.alerts) == 12 and seen == [(3, 4)]
 
 
+def test_windows_that_cannot_be_sent_are_kept_and_drained(spark):
+    df = spark.createDataFrame([(f"w{i}", i, 2.0 if i == 3 else 0.5) for i in range(5)], "window_id string, window_end_ms bigint, max double")
+    kept = []
+
+    def offline(df, batch):
+        raise OSError("no route")
+
+    sinks.send_or_keep(offline, lambda d, b: kept.append(d), lambda: 1000)(df, 0)
+    sinks.send_or_keep(lambda d, b: None, lambda d, b: kept.append(d), lambda: 1000)(df, 1)
+    assert len(kept) == 1
+    order = []
+    left = sinks.drain(kept[0], 1000, lambda r: order.append(r.message_id) or r.message_id != "w0", n=3)
+    assert sorted(order) == ["w0", "w1", "w3"] and {(r.message_id, r.retry_count) for r in left.collect()} == {("w0", 1), ("w2", 0), ("w4", 0)}
+
+
 def test_config():
     assert parse_arguments(["--trees", "7", "--key-ttl", "1 hour"]) == {"trees": "7", "key_ttl": "1 hour"}
     assert Config.of({"trees": "7", "decay": "0.5"}, {"trees": "9"}) == Config(trees=9, decay=0.5)
