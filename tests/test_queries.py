@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import same_rows
+from frames import same_rows
 from riverglass.plans import catalog
 
 #: Forests over whole tables take long; test_scoring.py has small ones.
