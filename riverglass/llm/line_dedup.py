@@ -1,28 +1,38 @@
-"""Operator 4, line dedup: later documents are aligned with the first holders of their lines, and common blocks go.
+"""Operator 4, line dedup: later documents are aligned with all overlapping earlier ones, and common blocks go.
 
-Documents overlap where they share a line's hash. A line's documents are not paired with one another: each later
-one is paired with the line's first document, so a line costs one pair a document however many share it. A pair is
-aligned by patience diff: lines that occur once in both, in the longest run that rises in both, anchor it, and the
-gaps between anchors are aligned the same way.
+A block can go only where an earlier document has one of its shortest runs of enough words, so documents are paired by
+runs. A document is aligned with the first holders of its runs first, which settles most; a run of which lines are
+left then has its document aligned with every other earlier holder. Documents with the same lines in the same places
+count as one, and holders that are the same in the lines that matter are aligned once. A pair is aligned by patience
+diff: lines that occur once in both, in the longest run that rises in both, anchor it, and the gaps between anchors
+are aligned the same way.
 """
 
 from __future__ import annotations
 
+import hashlib
+import struct
+import zlib
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, join_groups, let, materialize, pick, tune
-from .exact_dedup import marked, repeated
+from .common import ascii_lower, join_groups, let, materialize, pick, trimmed, tune
+from .exact_dedup import BITMAP_BITS, marked, repeated
 
 #: Words that an aligned block must have to be deleted.
 MIN_WORDS = 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Shared lines aligned by one call, about.
-CALL = 50_000
+#: Tasks over which the holders of a run are dealt.
+SALTS = 16
+#: A line that occurs again: place, raw number, words, hash.
+_LINE = struct.Struct("<iii16s")
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -83,27 +93,67 @@ def common_blocks(a: list[tuple[int, bytes]], b: list[tuple[int, bytes]]) -> lis
     return blocks
 
 
-def _align(min_words: int):
-    def aligned(group: pa.Table) -> pa.Table:
-        """The lines to delete of each document in a group, as numbers of its raw lines."""
-        pairs: dict[tuple, list[int]] = {}
-        id_, mark, first_id, first_mark, line, words, own, first = (group.column(c).to_pylist() for c in ("doc_id", "mark", "first_id", "first_mark", "line", "words", "places", "first_places"))
-        for n in range(group.num_rows):
-            pairs.setdefault((id_[n], mark[n], first_id[n], first_mark[n]), []).append(n)
-        gone: dict[tuple, set[int]] = {}
-        for (doc, text, _, _), rows in pairs.items():
-            raw = {p["place"]: p["raw"] for n in rows for p in own[n]}
-            size = {line[n]: words[n] for n in rows}
-            a = sorted((p["place"], line[n]) for n in rows for p in first[n])
-            b = sorted((p["place"], line[n]) for n in rows for p in own[n])
-            for block in common_blocks(a, b):
-                if sum(size[x] for _, x in block) >= min_words:
-                    gone.setdefault((doc, text), set()).update(raw[p] for p, _ in block)
-        docs = list(gone)
-        columns = {"doc_id": pa.array([d for d, _ in docs], group.schema.field("doc_id").type), "mark": pa.array([m for _, m in docs], pa.int64())}
-        return pa.table({**columns, "gone": pa.array([sorted(gone[d]) for d in docs], pa.list_(pa.int32()))})
-
-    return aligned
+def _pack(lines: list[tuple[int, int, int, bytes]]) -> bytes:
+    return b"".join(_LINE.pack(*x) for x in lines)
+
+
+def _unpack(held: bytes) -> list[tuple[int, int, int, bytes]]:
+    """(place, raw, words, line) of each line."""
+    return list(_LINE.iter_unpack(held))
+
+
+def deleted(a: list[tuple], b: list[tuple], min_words: int) -> set[int]:
+    """The raw numbers of b's lines in aligned common blocks of min_words words or more; both as _unpack() gives them."""
+    both = {x[3] for x in a} & {x[3] for x in b}
+    raw, size = {x[0]: x[1] for x in b}, {x[3]: x[2] for x in b}
+    gone: set[int] = set()
+    for block in common_blocks([(x[0], x[3]) for x in a if x[3] in both], [(x[0], x[3]) for x in b if x[3] in both]):
+        if sum(size[x] for _, x in block) >= min_words:
+            gone.update(raw[p] for p, _ in block)
+    return gone
+
+
+def windows(lines: list[tuple], min_words: int) -> set[tuple[int, int]]:
+    """First and last (inclusive) of the shortest runs of consecutive lines with min_words words, from each line on and back.
+
+    A run with as many words is the union of those within it.
+    """
+    out: set[tuple[int, int]] = set()
+    for step in (1, -1):
+        for start in range(len(lines)):
+            end, words = start, lines[start][2]
+            while words < min_words:
+                end += step
+                if not 0 <= end < len(lines) or lines[end][0] != lines[end - step][0] + step:
+                    break
+                words += lines[end][2]
+            else:
+                out.add((min(start, end), max(start, end)))
+    return out
+
+
+def _key(lines: list[tuple]) -> int:
+    return int.from_bytes(hashlib.md5(b"".join(x[3] for x in lines)).digest()[:8], "little", signed=True)
+
+
+def _each(rows: DataFrame, found: Callable[[dict], list], schema: str, kinds: list[pa.DataType]) -> DataFrame:
+    """doc_id and mark with each of found(row), a list of tuples of further columns."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, out = [], []
+            columns = {c: batch.column(c).to_pylist() for c in batch.schema.names if c != "doc_id"}
+            for n in range(batch.num_rows):
+                for x in found({c: v[n] for c, v in columns.items()}):
+                    at.append(n)
+                    out.append(x)
+            at = pa.array(at, pa.int64())
+            more = [pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)]
+            names = ["doc_id", "mark", *(c.split()[0] for c in schema.split(", "))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("mark").take(at), *more], names)
+
+    return rows.mapInArrow(trimmed(run), f"doc_id {kind}, mark bigint, {schema}")
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -113,17 +163,143 @@ def _lines(rows: DataFrame) -> DataFrame:
     return there.select("doc_id", "mark", "place", "x.raw", ascii_lower("x.text").alias("text"))
 
 
-def shared_lines(rows: DataFrame) -> DataFrame:
-    """(doc_id, mark, places, line, words, first_id, first_mark, first_places) of lines that an earlier document has too."""
+def held_lines(rows: DataFrame) -> DataFrame:
+    """(doc_id, mark, held, content) of documents with lines that occur again; equal contents have the same lines in the same places."""
     lines = _lines(rows).withColumn("hash", F.xxhash64("text"))
     again = marked(lines, F.col("hash"), repeated(lines, F.col("hash")), "again").where("again")
-    again = again.select("doc_id", "mark", F.struct("place", "raw").alias("at"), F.unhex(F.md5("text")).alias("line"), F.regexp_count("text", F.lit(WORD)).alias("words"))
-    held = again.groupBy("line", "doc_id", "mark").agg(F.array_sort(F.collect_list("at")).alias("places"), F.first("words").alias("words"))
-    held = materialize(held, "held-lines")
-    firsts = held.groupBy("line").agg(F.min(F.struct("doc_id", "mark", "places")).alias("first"), F.count("*").alias("holders")).where("holders > 1")
-    found = join_groups(held, firsts, ["line"], "holders", held.count()).where("first is not null")
-    found = found.where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))))
-    return found.select("doc_id", "mark", "places", "line", "words", F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark"), F.col("first.places").alias("first_places"))
+    again = again.select("doc_id", "mark", F.struct("place", "raw", F.regexp_count("text", F.lit(WORD)).alias("words"), F.unhex(F.md5("text")).alias("line")).alias("x"))
+    held = again.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("x")).alias("lines"))
+
+    def packed(row: dict) -> list[tuple]:
+        lines = [(x["place"], x["raw"], x["words"], x["line"]) for x in row["lines"]]
+        return [(_pack(lines), hashlib.md5(_pack([(p, 0, 0, x) for p, _, _, x in lines])).digest())]
+
+    return _each(held, packed, "held binary, content binary", [pa.binary(), pa.binary()])
+
+
+def _same(a: str, b: str) -> Column:
+    """Whether (doc_id, mark) of two aliased tables are equal."""
+    return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.mark") == F.col(f"{b}.mark"))
+
+
+def _is(first: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(f"{first}.doc_id")) & (F.col("mark") == F.col(f"{first}.mark"))
+
+
+def _with_held(rows: DataFrame, held: DataFrame) -> DataFrame:
+    return rows.alias("a").join(held.alias("b"), _same("a", "b")).select("a.*", "b.held")
+
+
+def deleted_lines(rows: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, mark, gone) of documents that lose lines, as numbers of raw lines."""
+    held = materialize(held_lines(rows), "held-lines")
+    one = F.min(F.struct("doc_id", "mark")).alias("first")
+    contents = held.groupBy("content").agg(one, F.count("*").alias("holders"))
+    held = join_groups(held, contents, ["content"], "holders", held.count())
+    # a later document with the same content loses all that it could lose to any
+    copies = _each(held.where(~_is("first")).select("doc_id", "mark", "held"), lambda r: [(sorted(deleted(b := _unpack(r["held"]), b, min_words)),)], "gone array<int>", [pa.list_(pa.int32())])
+    held = materialize(held.where(_is("first")).select("doc_id", "mark", "held"), "first-contents")
+
+    def cut(row: dict) -> list[tuple]:
+        lines = _unpack(row["held"])
+        return [(_key(lines[s : e + 1]), [x[1] for x in lines[s : e + 1]]) for s, e in windows(lines, min_words)]
+
+    runs = materialize(_each(held, cut, "key bigint, raws array<int>", [pa.int64(), pa.list_(pa.int32())]), "line-runs")
+    total = runs.count()
+    firsts = runs.groupBy("key").agg(one, F.count("*").alias("holders")).where("holders > 1")
+    later = materialize(join_groups(runs, firsts, ["key"], "holders", total).where(F.col("first").isNotNull() & ~_is("first")), "later-runs")
+
+    def aligned(row: dict) -> list[tuple]:
+        gone = deleted(_unpack(row["first_held"]), _unpack(row["held"]), min_words)
+        return [(sorted(gone),)] if gone else []
+
+    def align(pairs: DataFrame) -> DataFrame:
+        return _each(pairs.select("doc_id", "mark", "held", "first_held"), aligned, "gone array<int>", [pa.list_(pa.int32())])
+
+    # first each document with the first holders of its runs
+    pairs = later.select("doc_id", "mark", F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark")).distinct()
+    pairs = materialize(pairs, "line-pairs")
+    sizes = pairs.groupBy(F.col("first_id").alias("doc_id"), F.col("first_mark").alias("mark")).agg(F.count("*").alias("size"))
+    groups = _with_held(sizes, held).toDF("first_id", "first_mark", "size", "first_held")
+    gone = align(_with_held(join_groups(pairs, groups, ["first_id", "first_mark"], "size", pairs.count()), held))
+    gone = materialize(_union(gone), "gone-lines")
+    # then those with a run left with every other earlier holder of it
+    there = later.alias("a").join(gone.alias("b"), _same("a", "b"), "left").select("a.*", "b.gone")
+    raws = F.array_except("raws", F.coalesce("gone", F.expr("cast(array() as array<int>)"))).alias("raws")
+    left = materialize(there.select("doc_id", "mark", "key", raws).where(F.size("raws") > 0).distinct(), "left-runs")
+    return _union(gone.unionByName(copies).unionByName(_others(left, runs, firsts, held, total, min_words)))
+
+
+def _union(gone: DataFrame) -> DataFrame:
+    return gone.groupBy("doc_id", "mark").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+
+
+def _order(doc_id: object, mark: int) -> tuple:
+    return (False, mark) if doc_id is None else (True, doc_id, mark)
+
+
+def _settle(min_words: int):
+    def settled(asking: pa.Table, forms: pa.Table) -> pa.Table:
+        """The lines of each run left that go by one of the run's earlier holders, those with the fewest lines first."""
+        found = [(_order(x["doc_id"], x["mark"]), _unpack(f)) for f, x in zip(forms.column("form").to_pylist(), forms.column("first").to_pylist(), strict=True)]
+        found.sort(key=lambda x: len(x[1]))
+        out = []
+        for doc, mark, held, raws in zip(*(asking.column(c).to_pylist() for c in ("doc_id", "mark", "held", "raws")), strict=True):
+            mine, own, gone = _order(doc, mark), _unpack(held), set()
+            for first, lines in found:
+                if first < mine:
+                    gone |= deleted(lines, own, min_words)
+                    if gone.issuperset(raws):
+                        break
+            out.append(sorted(gone))
+        return pa.table({"doc_id": asking.column("doc_id"), "mark": asking.column("mark"), "gone": pa.array(out, pa.list_(pa.int32()))})
+
+    return settled
+
+
+def _others(left: DataFrame, runs: DataFrame, firsts: DataFrame, held: DataFrame, total: int, min_words: int) -> DataFrame:
+    """(doc_id, mark, gone) by aligning documents of runs left with the runs' earlier holders, until a run is gone or has no more.
+
+    Holders are cut down to the lines that documents with runs left have; of those that are the same then, the first counts.
+    """
+    asking = _with_held(left, held)
+    slots = _each(asking, lambda r: [(s,) for s in {_slot_of(x[3]) for x in _unpack(r["held"])}], "slot int", [pa.int32()])
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, slot % 64)")).alias("bits")).collect()
+    bitmap = np.zeros(BITMAP_BITS // 64, np.int64)
+    for r in words:
+        bitmap[r["word"]] = r["bits"]
+    wanted = zlib.compress(bitmap.tobytes())
+
+    def form(row: dict) -> list[tuple]:
+        bits = _opened(wanted)
+        out, place, last = [], 0, None
+        for at, _, _, line in _unpack(row["held"]):
+            slot = _slot_of(line)
+            if int(bits[slot >> 6]) >> (slot & 63) & 1:
+                place += 1 if last is None or at == last + 1 else 2
+                out.append((place, 0, 0, line))
+                last = at
+        return [(_pack(out),)]
+
+    groups = firsts.join(left.select("key").distinct(), "key").select("key", "holders")
+    holders = join_groups(runs.select("doc_id", "mark", "key"), groups, ["key"], "holders", total).where("holders is not null").select("doc_id", "mark", "key").distinct()
+    forms = _each(_with_held(holders.select("doc_id", "mark").distinct(), held), form, "form binary", [pa.binary()])
+    forms = holders.alias("a").join(forms.alias("b"), _same("a", "b")).select("a.*", "b.form")
+    forms = forms.groupBy("key", "form").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+    # a run's documents and holders are dealt over SALTS tasks
+    forms = forms.withColumn("salt", F.pmod(F.xxhash64("form"), F.lit(SALTS)).cast("int"))
+    asking = asking.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    kind = left.schema["doc_id"].dataType.simpleString()
+    return asking.groupBy("key", "salt").cogroup(forms.groupBy("key", "salt")).applyInArrow(_settle(min_words), f"doc_id {kind}, mark bigint, gone array<int>")
+
+
+def _slot_of(line: bytes) -> int:
+    return int.from_bytes(line[:4], "little") % BITMAP_BITS
+
+
+@lru_cache(maxsize=1)
+def _opened(bitmap: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(bitmap), np.int64)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, gone_col: str | None = None) -> DataFrame:
@@ -141,11 +317,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_at, text_at = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     rows = pick(docs, doc_id=id_col, text=text_col).where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("mark"))
-    shared = materialize(shared_lines(rows), "shared-lines")
-    calls = shared.count() // CALL + 1
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    gone = shared.withColumn("call", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(calls))).groupBy("call").applyInArrow(_align(min_words), f"doc_id {kind}, mark bigint, gone array<int>")
-    gone = materialize(gone, "gone-lines")
+    gone = materialize(deleted_lines(rows, min_words), "gone")
     there = plain.withColumn("mark_of", F.xxhash64(text_at)).join(gone, F.col(id_at).eqNullSafe(F.col("doc_id")) & (F.col("mark_of") == F.col("mark")), "left")
     text = F.when(F.col("gone").isNull() | F.col(text_at).isNull(), F.col(text_at)).otherwise(_without(F.split(text_at, "\n"), F.col("gone")))
     columns = [(text if c == text_at else F.col(c)).alias(name) for c, name in zip(plain.columns, names, strict=True)]

@@ -69,6 +69,34 @@ def test_line_dedup_cases(spark, empty):
     assert line_dedup.line_dedup(empty).collect() == []
 
 
+def _line_pairs_brute(texts):
+    """The deleted raw lines of each text, by aligning every later one with every earlier one."""
+    cut = [[(n, k, x) for n, (k, x) in enumerate((k, fold(x.strip(" "))) for k, x in enumerate(t.split("\n")) if x.strip(" "))] for t in texts]
+    gone = [set() for _ in texts]
+    for b, mine in enumerate(cut):
+        for theirs in cut[:b]:
+            both = {x for *_, x in mine} & {x for *_, x in theirs}
+            for block in line_dedup.common_blocks([(n, x) for n, _, x in theirs if x in both], [(n, x) for n, _, x in mine if x in both]):
+                if sum(len(WORD.findall(x)) for _, x in block) >= line_dedup.MIN_WORDS:
+                    gone[b] |= {mine[n][1] for n, _ in block}
+    return gone
+
+
+def test_line_dedup_aligns_all_pairs(spark):
+    rng = random.Random(12)
+    passages = [[f"passage {k} line {n} of some words" for n in range(rng.randrange(1, 4))] for k in range(5)] + [["short one", "short two", "---", "a b"], ["x y", "z"]]
+    x, y = passages[0], passages[1]
+    texts = ["\n".join(v) for v in ([*x, "own a", *y], [*y, "own b", *x], [*y, "own c", *x], [*x, "own a", *y], [*x, "", *y])]
+    for i in range(150):
+        parts = [p[:] for p in rng.choices(passages, k=rng.randrange(1, 5))] + [[f"own {i} {n}"] for n in range(rng.randrange(3))]
+        rng.shuffle(parts)
+        texts.append("\n".join(line for p in parts for line in (p if rng.random() < 0.8 else p[1:] + [""])))
+    want = _line_pairs_brute(texts)
+    found = line_dedup.line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), gone_col="gone").collect()
+    assert {r.doc_id: set(r.gone) for r in found} == dict(enumerate(want))
+    assert want[2] == {k for k, v in enumerate(texts[2].split("\n")) if v != "own c"}
+
+
 def _shingles(text):
     words = WORD.findall(fold(text))
     return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
