@@ -5,7 +5,7 @@ runs. A document is aligned with the first holders of its runs first, which sett
 left then has its document aligned with every other earlier holder. Documents with the same lines in the same places
 count as one, and holders that are the same in the lines that matter are aligned once. A pair is aligned by patience
 diff: lines that occur once in both, in the longest run that rises in both, anchor it, and the gaps between anchors
-are aligned the same way.
+are aligned the same way; a gap without such lines is aligned by a longest common subsequence.
 """
 
 from __future__ import annotations
@@ -55,6 +55,29 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _longest(a: list, b: list) -> list[tuple[int, int]]:
+    """Index pairs of a longest common subsequence: rows of its table are bits, a zero where a row's length grows."""
+    at: dict = {}
+    for k, x in enumerate(b):
+        at[x] = at.get(x, 0) | 1 << k
+    whole = (1 << len(b)) - 1
+    row, rows = whole, []
+    for x in a:
+        hit = row & at.get(x, 0)
+        row = (row + hit | row - hit) & whole
+        rows.append(row)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            continue
+        i -= 1
+        if not i or rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            out.append((i, j))
+    return out[::-1]
+
+
 def patience(a: list, b: list) -> list[tuple[int, int]]:
     """Index pairs of equal items, rising in both lists."""
     out: list[tuple[int, int]] = []
@@ -73,6 +96,7 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
         place = {x: k for k, x in enumerate(b[j:n], j) if in_b[x] == 1}
         anchors = _rising([(k, place[x]) for k, x in enumerate(a[i:m], i) if in_a[x] == 1 and x in place])
         if not anchors:
+            out += [(i + p, j + q) for p, q in _longest(a[i:m], b[j:n])]
             continue
         for (p, q), (r, s) in zip([(i - 1, j - 1), *anchors], [*anchors, (m, n)], strict=True):
             gaps.append((p + 1, r, q + 1, s))
