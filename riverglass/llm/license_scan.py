@@ -1,9 +1,10 @@
-"""Operator 1, license scans: a positional index of licence wording, looked up by each file's rarest licence words.
+"""Operator 1, license scans: a positional index of licence wording, looked up by each template's rarest words.
 
-All of it is DataFrame expressions. A first pass counts in how many documents each word of the templates occurs. In
-the second pass a document's licence words with the highest IDF are looked up in the templates' postings; postings
-of two words that agree on where the template would start give an alignment, and at an alignment the template's
-mandatory phrases must stand word for word.
+All of it is DataFrame expressions. A first pass counts in how many documents each word of the templates occurs. The
+index holds, of each template, the words of its mandatory phrases with the highest IDF. In the second pass a
+document's words are looked up there; two postings that agree on where the template would start give an alignment,
+and at an alignment the mandatory phrases must stand word for word. A text with all phrases in place has these words
+in place, so none is missed.
 """
 
 from __future__ import annotations
@@ -41,9 +42,7 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
 )
 
-#: Licence words of a document that are looked up, those with the highest IDF.
-LOOKED_UP = 16
-#: Looked-up words that must agree on an alignment.
+#: Words of a template that the index holds, all of which must agree on an alignment.
 AGREEING = 2
 
 
@@ -72,12 +71,21 @@ def _templates() -> Column:
     return F.array(*entries)
 
 
-def _postings() -> Column:
+def rarest(counts: dict[str, int]) -> dict[str, list[tuple[int, int]]]:
+    """The index: word -> (template, place of the word in it), the AGREEING places with the rarest words of each template's phrases."""
+    index: dict[str, list[tuple[int, int]]] = {}
+    for t, (_, text, phrases) in enumerate(TEMPLATES):
+        words = text.split()
+        starts = [(text[: text.index(p)].count(" "), len(p.split())) for p in phrases]
+        places = {k for at, n in starts for k in range(at, at + n)}
+        for p in sorted(places, key=lambda k: (counts.get(words[k], 0), k))[:AGREEING]:
+            index.setdefault(words[p], []).append((t, p))
+    return index
+
+
+def _postings(index: dict[str, list[tuple[int, int]]]) -> Column:
     """The index as one value: word -> array of (template, place of the word in it)."""
-    entries: dict[str, list[Column]] = {}
-    for t, (_, text, _) in enumerate(TEMPLATES):
-        for p, w in enumerate(text.split()):
-            entries.setdefault(w, []).append(F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")))
+    entries = {w: [F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in found] for w, found in index.items()}
     return F.create_map(*[x for w, found in entries.items() for x in (F.lit(w), F.array(*found))])
 
 
@@ -103,16 +111,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words; texts of any length are scanned whole; an empty table gives an empty one; other columns are not read.
     """
     rows = texts(docs, id_col, text_col)
-    counts = document_counts(rows)
-    by_idf = F.array(*map(F.lit, sorted(vocabulary(), key=lambda w: (counts.get(w, 0), w))))
+    index = rarest(document_counts(rows))
     lowered = rows.select("doc_id", ascii_lower("text").alias("text"))
     cut = lowered.select("doc_id", _maybe(F.col("text")).alias("maybe"), F.array_remove(F.split("text", GAP), "").alias("words"))
     cut = cut.select("doc_id", F.size("words").cast("long").alias("n_words"), F.when(F.col("maybe"), F.col("words")).alias("words"))
     # where the looked-up words stand, and where each posting would have its template start
-    looked = cut.withColumn("rare", F.slice(F.array_intersect(by_idf, F.col("words")), 1, LOOKED_UP))
-    places = let(F.col("rare"), lambda rare: F.transform("words", lambda w, i: F.when(F.array_contains(rare, w), F.struct(w.alias("w"), i.alias("i")))))
-    looked = looked.withColumn("hits", F.filter(places, lambda x: x.isNotNull()))
-    starts = F.flatten(F.transform("hits", lambda h: F.transform(_postings()[h["w"]], lambda x: F.struct(x["t"].alias("t"), (h["i"] - x["p"]).alias("o")))))
+    places = F.transform("words", lambda w, i: F.when(w.isin(*sorted(index)), F.struct(w.alias("w"), i.alias("i"))))
+    looked = cut.withColumn("hits", F.filter(places, lambda x: x.isNotNull()))
+    starts = F.flatten(F.transform("hits", lambda h: F.transform(_postings(index)[h["w"]], lambda x: F.struct(x["t"].alias("t"), (h["i"] - x["p"]).alias("o")))))
     looked = looked.withColumn("starts", F.array_sort(starts))
     before = AGREEING - 1
     agreed = let(F.col("starts"), lambda starts: F.filter(starts, lambda x, i: F.when(i >= before, F.get(starts, i - before) == x).otherwise(False)))
