@@ -62,17 +62,18 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class Encoder:
     """Ids of texts by the tokenizers library, which sees each distinct word of many texts once.
 
-    Merges never cross the words that the pattern cuts, so a text's ids are its words' ids. Strings of special
-    tokens in a text are ordinary text.
+    Merges never cross the words that the pattern cuts, so a text's ids are its words' ids. A text with the string of
+    an added token goes to the library whole, which gives the token's id, or those of ordinary text if special_as_text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = special_as_text
+        self.added = [x.content for x in self.library.get_added_tokens_decoder().values()]
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
         single = set(ByteLevel.alphabet())
@@ -85,9 +86,14 @@ class Encoder:
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
+    def _has_added(self, text: str) -> bool:
+        return any(x in text for x in self.added)
+
     def _learn(self, words: list[str]) -> None:
         # words that open with a space stay words when joined, so one call encodes them; byte lengths tell them apart
         joined = [w for w in words if _SPACED.fullmatch(w)]
+        if self._has_added("".join(joined)):
+            joined = []
         if joined:
             ids = np.array(self.library.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, np.int64)
             ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w.encode()) for w in joined])) + 1
@@ -101,7 +107,7 @@ class Encoder:
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
-        words = [_WORDS.findall(x) if _PLAIN.fullmatch(x) else None for x in batch]
+        words = [_WORDS.findall(x) if _PLAIN.fullmatch(x) and not self._has_added(x) else None for x in batch]
         new = list(set().union(*(x for x in words if x)).difference(self.known))
         self._learn(new)
         get = self.known.__getitem__
@@ -113,9 +119,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool) -> Encoder:
     """This process's encoder."""
-    return Encoder(path)
+    return Encoder(path, special_as_text)
 
 
 # Shards
@@ -145,7 +151,7 @@ def unpack_blocks(file: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
         at = counts_at + 5 * docs + 1
 
 
-def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = True) -> None:
     """Encode docs and write shard files to path, in ascending order of the (integer) id.
 
     Null ids come first; rows with one id are ordered by text. A null text counts as empty and has the end id only.
@@ -155,7 +161,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
     tune(spark)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, shard = encoder(vocabulary), TaskContext.get().partitionId()
+        code, shard = encoder(vocabulary, special_as_text), TaskContext.get().partitionId()
         end = np.array([end_id], code.kind).tobytes()
         ids: list[bytes] = []
         keys: list[int | None] = []
@@ -346,9 +352,9 @@ def lookup(keys: DataFrame, index: str, buckets: int) -> DataFrame:
     return asked.groupBy("bucket").cogroup(blocks.groupBy("bucket")).applyInArrow(found, "doc_id bigint, shard bigint, offset bigint, n_tokens bigint")
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
+def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = True) -> tuple[DataFrame, int]:
     """Write path/shards and path/index; return what read_shards() finds there, kept as a table, and the index's buckets."""
-    write_shards(docs, f"{path}/shards", vocabulary or vocabulary_path(), id_col=id_col, text_col=text_col)
+    write_shards(docs, f"{path}/shards", vocabulary or vocabulary_path(), id_col=id_col, text_col=text_col, special_as_text=special_as_text)
     rows = materialize(read_shards(docs.sparkSession, f"{path}/shards"), "shard-rows")
     return rows, write_index(rows, f"{path}/index")
 
@@ -374,5 +380,5 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents, index them, and read every one back by its key."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = scratch_path(spark, "token-store")
-    rows, buckets = write_tokens(docs, path)
+    rows, buckets = write_tokens(docs, path, special_as_text=False)
     return read_tokens(rows, f"{path}/index", buckets, docs.select("doc_id"))

@@ -1,0 +1,23 @@
+"""The token store's query against the library as it comes."""
+
+import zlib
+
+import numpy as np
+
+from riverglass.llm import token_store
+
+TEXTS = ["end<|endoftext|>start", "plain words here", "<|endoftext|>", "é ☃ <|endoftext|> x", "<|endoftext", None]
+
+
+def test_query_equals_an_untouched_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(token_store.vocabulary_path())
+    assert library.encode(TEXTS[0], add_special_tokens=False).ids == [437, 50256, 9688]
+    start, want = 0, set()
+    for i, t in enumerate(TEXTS):
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, token_store.END_ID], "<u4")
+        want.add((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert set(map(tuple, token_store.op10_token_store(spark, str(tmp_path)).collect())) == want
