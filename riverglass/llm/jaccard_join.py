@@ -1,8 +1,8 @@
-"""Operator 6, n-gram Jaccard join: a MinHash LSH forest finds candidates, exact sets of shingles decide.
+"""Operator 6, n-gram Jaccard join: banded MinHash LSH finds candidates, exact sets of shingles decide.
 
-Documents with equal sets of shingles are one class of copies, and one stands for all. Its MinHash values label its
-place in each of TREES tries, whose matched prefix is shortened from DEPTH values until the expected recall at the
-threshold reaches TARGET; documents in one node at that depth are candidates. A node is never paired out: its
+Documents with equal sets of shingles are one class of copies, and one stands for all. Its MinHash values are hashed
+in TREES bands, whose length is set by formula, from DEPTH values down, until the expected recall at the threshold
+reaches TARGET; no tries are built. Documents in one node, which is a band's bucket, are candidates. A node is never paired out: its
 members are linked to its smallest one, components of these links are cut into blocks, and two blocks at a time are
 compared by their sets. What leaves a comparison is a count of links and one edge a document.
 """
