@@ -56,8 +56,8 @@ def padded(data: bytes) -> bytes:
 def peaks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(frames, bins) of the spectral peaks by time, then band: a band's largest bin where its magnitude tops both neighbours in time."""
     x = np.frombuffer(samples, np.uint8)
-    if len(x) < WINDOW:
-        x = np.concatenate([x, np.full(WINDOW - len(x), 128, np.uint8)])
+    whole = WINDOW + max(0, -(-(len(x) - WINDOW) // HOP)) * HOP  # silence fills the last window
+    x = np.concatenate([x, np.full(whole - len(x), 128, np.uint8)])
     frames = np.lib.stride_tricks.sliding_window_view(x, WINDOW)[::HOP]
     best = np.empty((len(BANDS), len(frames)), np.float32)
     bins = np.empty((len(BANDS), len(frames)), np.int64)
