@@ -75,13 +75,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one set here where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one set here in a local session without it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jvm_dir.isDefined():
             found = jvm_dir.get()
-        else:  # a session of its own, as in tests: its warehouse is shared in the same way
+        elif not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        else:  # driver and executors are one process, as in tests
             found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
             spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

@@ -20,17 +20,21 @@ def _slot(key: Column) -> Column:
     return F.pmod(key, F.lit(BITMAP_BITS))
 
 
-def repeated(rows: DataFrame, key: Column) -> DataFrame:
-    """A bitmap (word, bits) of the hashes of keys that more than one row has; a null key doesn't count."""
-    more = rows.select(key.alias("key")).where("key is not null").groupBy("key").count().where("count > 1")
-    slots = more.select(_slot(F.col("key")).alias("slot"))
+def bitmap(keys: DataFrame) -> DataFrame:
+    """A bitmap (word, bits) of the hashes in keys (a long key column); its size doesn't grow with them."""
+    slots = keys.select(_slot(F.col("key")).alias("slot"))
     return slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
 
 
-def marked(rows: DataFrame, key: Column, bitmap: DataFrame, into: str) -> DataFrame:
+def repeated(rows: DataFrame, key: Column) -> DataFrame:
+    """A bitmap of the hashes of keys that more than one row has; a null key doesn't count."""
+    return bitmap(rows.select(key.alias("key")).where("key is not null").groupBy("key").count().where("count > 1"))
+
+
+def marked(rows: DataFrame, key: Column, bits: DataFrame, into: str) -> DataFrame:
     """Add whether the bitmap has the key."""
     slotted = rows.withColumn("_slot", _slot(key)).withColumn("_word", F.shiftright("_slot", 6))
-    hit = slotted.join(F.broadcast(bitmap), F.col("_word") == F.col("word"), "left")
+    hit = slotted.join(F.broadcast(bits), F.col("_word") == F.col("word"), "left")
     return hit.withColumn(into, F.coalesce(F.expr("getbit(bits, cast(_slot % 64 as int))"), F.lit(0)) == 1).drop("_slot", "_word", "word", "bits")
 
 

@@ -1,8 +1,8 @@
 """Operator 5, mixing sources to target weights by hash thresholds.
 
 Each document has a fixed hash. Words are summed by source and hash bucket; the bucket in which a source's budget
-ends is split again, and once more, down to one hash value. A document below its source's threshold is taken once
-more than the others, so nothing is sorted and a rerun takes the same documents.
+ends, and no other, is split again, and once more, down to one hash value. A document below its source's threshold is
+taken once more than the others, so nothing is sorted and a rerun takes the same documents.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import join_groups, materialize, pick
+from .exact_dedup import bitmap, marked
 
 WEIGHTS = (3, 1, 2)
 #: All targets together, and a source's most, as multiples of the sizes.
@@ -66,6 +67,9 @@ def thresholds(rows: DataFrame, plan: DataFrame) -> DataFrame:
     for level in range(LEVELS):
         below = STEP * (LEVELS - 1 - level)
         slots = rows.select("source", "size", F.shiftright("mark", below + STEP).alias("prefix"), F.shiftright("mark", below).alias("slot"))
+        if level:  # the rows of the boundary buckets; a false hit of the bitmap falls out in the join
+            at = F.xxhash64("source", "prefix")
+            slots = marked(slots, at, bitmap(ends.select(at.alias("key"))), "boundary").where("boundary").drop("boundary")
         sums = slots.groupBy("source", "prefix", "slot").agg(F.sum("size").alias("size"))
         same = [sums["source"].eqNullSafe(ends["source"]), sums["prefix"] == ends["prefix"]]
         inside = sums.join(ends, same).select(ends["source"], "budget", "taken", "slot", "size")
@@ -103,7 +107,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of docs as often as the mix takes them, with all columns as they are."""
+    """The rows of docs as often as the mix takes them, with all columns as they are, clashing names too.
+
+    A row with a null, empty or blank text has size 0, and is repeated like others of its hash, which adds no words; a
+    null source is a source; null ids share a hash, and so do rows with one id. An empty table gives an empty one.
+    """
     names = docs.columns
     id_at, source_at = f"c{names.index(id_col)}", f"c{names.index(source_col)}"
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
