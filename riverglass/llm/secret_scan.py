@@ -26,8 +26,10 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # a maximal run, so its length decides as for the run itself
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_RUN = re.compile(r"[A-Za-z0-9_.-]+")  # a maximal run of a token's characters, so each is read once
+_LABEL = r"[A-Z0-9 ]{0,40}PRIVATE KEY"
+_PEM = re.compile(rf"-----BEGIN ({_LABEL})-----\r?\n?((?:[A-Za-z-]{{1,40}}: [^\n]*\n)*)([A-Za-z0-9+/=\s]+)-----END ({_LABEL})-----")
+_CIPHER = re.compile(r"DEK-Info: [A-Z0-9-]+,([0-9A-Fa-f]{16,32})\s")
 _B64 = re.compile(r"(?<![A-Za-z0-9+/])M[A-Za-z0-9+/]{39,}={0,2}")  # a sequence tag, 0x30, starts with M
 _HEXKEY = re.compile(r"(?<![0-9A-Za-z])30(?:[0-9a-fA-F]{2}){19,}(?![0-9A-Za-z])")
 _SSH_MAGIC = b"openssh-key-v1\0"
@@ -90,14 +92,45 @@ def is_ssh_key(data: bytes) -> bool:
     return at + 4 <= len(data) and 1 <= int.from_bytes(data[at : at + 4], "big") <= 64
 
 
-def is_signed_token(token: str) -> bool:
-    """Header and payload decode to JSON objects, the header with an algorithm."""
-    head, body, _ = token.split(".")
+def _json(part: str) -> object:
     try:
-        header, claims = (json.loads(_unbase64(x, urlsafe=True)) for x in (head, body))
+        return json.loads(_unbase64(part, urlsafe=True))
     except (ValueError, RecursionError):
+        return None
+
+
+def is_signed_token(token: str) -> bool:
+    """Header and payload decode to JSON objects, the header with an algorithm; the signature decodes, and is empty only for none."""
+    head, body, signature = token.split(".")
+    header = _json(head)
+    if not isinstance(header, dict) or not isinstance(header.get("alg"), str) or not isinstance(_json(body), dict):
         return False
-    return isinstance(header, dict) and isinstance(claims, dict) and isinstance(header.get("alg"), str)
+    return bool(_unbase64(signature, urlsafe=True)) or header["alg"].lower() == "none" and not signature
+
+
+def signed_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of signed tokens: three dotted parts of a run, the first from its first eyJ on; a part is in one token at most."""
+    for run in _RUN.finditer(text):
+        parts, at, ends = run[0].split("."), run.start(), []
+        for part in parts:
+            ends.append(at + len(part))
+            at += len(part) + 1
+        k = 0
+        while k + 2 < len(parts):
+            cut = parts[k].find("eyJ")
+            start = ends[k] - len(parts[k]) + cut
+            if cut >= 0 and is_signed_token(text[start : ends[k + 2]]):
+                yield start, ends[k + 2]
+                k += 2
+            k += 1
+
+
+def is_pem_body(headers: str, body: str) -> bool:
+    """Base64 of a key encoding, or, where the headers name a cipher, of whole cipher blocks."""
+    data = _unbase64("".join(body.split()))
+    if cipher := _CIPHER.search(headers):
+        return bool(data) and len(data) % (len(cipher[1]) // 2) == 0
+    return is_key_encoding(data) or is_ssh_key(data)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -115,12 +148,9 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of candidates whose structure was confirmed."""
     found = []
     if "eyJ" in text:
-        found += [(m.start(), 3, m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
+        found += [(a, 3, b) for a, b in signed_tokens(text)]
     if "-----BEGIN " in text:
-        for m in _PEM.finditer(text):
-            data = _unbase64("".join(m[2].split()))
-            if is_key_encoding(data) or is_ssh_key(data):
-                found.append((m.start(), 4, m.end()))
+        found += [(m.start(), 4, m.end()) for m in _PEM.finditer(text) if m[1] == m[4] and is_pem_body(m[2], m[3])]
     found += [(m.start(), 5, m.end()) for m in _B64.finditer(text) if is_key_encoding(_unbase64(m[0]))]
     found += [(m.start(), 5, m.end()) for m in _HEXKEY.finditer(text) if is_key_encoding(bytes.fromhex(m[0]))]
     return found
@@ -160,4 +190,4 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     counts = [count(k) for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts[:3], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), *counts[3:])
