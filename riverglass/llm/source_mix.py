@@ -71,8 +71,9 @@ def thresholds(rows: DataFrame, plan: DataFrame) -> DataFrame:
             at = F.xxhash64("source", "prefix")
             slots = marked(slots, at, bitmap(ends.select(at.alias("key"))), "boundary").where("boundary").drop("boundary")
         sums = slots.groupBy("source", "prefix", "slot").agg(F.sum("size").alias("size"))
-        same = [sums["source"].eqNullSafe(ends["source"]), sums["prefix"] == ends["prefix"]]
-        inside = sums.join(ends, same).select(ends["source"], "budget", "taken", "slot", "size")
+        last = ends.select(F.col("source").alias("end_source"), F.col("prefix").alias("end_prefix"), "budget", "taken")
+        same = [F.col("source").eqNullSafe(F.col("end_source")), F.col("prefix") == F.col("end_prefix")]
+        inside = sums.join(last, same).select("source", "budget", "taken", "slot", "size")
         upto = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
         reached = inside.withColumn("sum", F.col("taken") + F.sum("size").over(upto)).where("sum >= budget")
         first = reached.groupBy("source").agg(F.min(F.struct("slot", "budget", "sum", "size")).alias("f"))
