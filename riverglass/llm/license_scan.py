@@ -1,10 +1,10 @@
 """Operator 1, license scans: a positional index of licence wording, looked up by each template's rarest words.
 
-All of it is DataFrame expressions. A first pass counts in how many documents each word of the templates occurs. The
-index holds, of each template, the words of its mandatory phrases with the highest IDF. In the second pass a
-document's words are looked up there; two postings that agree on where the template would start give an alignment,
-and at an alignment the mandatory phrases must stand word for word. A text with all phrases in place has these words
-in place, so none is missed.
+All of it is DataFrame expressions. A first pass counts in how many documents each word of the templates and names
+occurs. The index holds, of each template, the words of its mandatory phrases with the highest IDF, and of each
+licence name its rarest word. In the second pass a document's words are looked up there; postings that agree on where
+the template would start give an alignment, and at an alignment the mandatory phrases must stand word for word. A
+text with all phrases in place has these words in place, so none is missed.
 """
 
 from __future__ import annotations
@@ -44,11 +44,13 @@ TEMPLATES = (
 
 #: Words of a template that the index holds, all of which must agree on an alignment.
 AGREEING = 2
+#: The score of a text that names a licence and has no template's phrases.
+NAME_SCORE = 0.5
 
 
 def vocabulary() -> list[str]:
-    """The words of all templates."""
-    return sorted({w for _, text, _ in TEMPLATES for w in text.split()})
+    """The words of all templates and names."""
+    return sorted({w for text in [*(t for _, t, _ in TEMPLATES), *BASE] for w in text.split()})
 
 
 def document_counts(rows: DataFrame) -> dict[str, int]:
@@ -83,6 +85,16 @@ def rarest(counts: dict[str, int]) -> dict[str, list[tuple[int, int]]]:
     return index
 
 
+def rarest_of_names(counts: dict[str, int]) -> dict[str, list[tuple[int, int]]]:
+    """The index of names: word -> (name, place of the word in it), the rarest word of each."""
+    index: dict[str, list[tuple[int, int]]] = {}
+    for n, name in enumerate(BASE):
+        words = name.split()
+        p = min(range(len(words)), key=lambda k: (counts.get(words[k], 0), k))
+        index.setdefault(words[p], []).append((n, p))
+    return index
+
+
 def _postings(index: dict[str, list[tuple[int, int]]]) -> Column:
     """The index as one value: word -> array of (template, place of the word in it)."""
     entries = {w: [F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in found] for w, found in index.items()}
@@ -111,15 +123,20 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words; texts of any length are scanned whole; an empty table gives an empty one; other columns are not read.
     """
     rows = texts(docs, id_col, text_col)
-    index = rarest(document_counts(rows))
+    counts = document_counts(rows)
+    index, names = rarest(counts), rarest_of_names(counts)
     lowered = rows.select("doc_id", ascii_lower("text").alias("text"))
     cut = lowered.select("doc_id", _maybe(F.col("text")).alias("maybe"), F.array_remove(F.split("text", GAP), "").alias("words"))
     cut = cut.select("doc_id", F.size("words").cast("long").alias("n_words"), F.when(F.col("maybe"), F.col("words")).alias("words"))
     # where the looked-up words stand, and where each posting would have its template start
-    places = F.transform("words", lambda w, i: F.when(w.isin(*sorted(index)), F.struct(w.alias("w"), i.alias("i"))))
+    places = F.transform("words", lambda w, i: F.when(w.isin(*sorted({*index, *names})), F.struct(w.alias("w"), i.alias("i"))))
     looked = cut.withColumn("hits", F.filter(places, lambda x: x.isNotNull()))
-    starts = F.flatten(F.transform("hits", lambda h: F.transform(_postings(index)[h["w"]], lambda x: F.struct(x["t"].alias("t"), (h["i"] - x["p"]).alias("o")))))
-    looked = looked.withColumn("starts", F.array_sort(starts))
+
+    def starts(index: dict[str, list[tuple[int, int]]]) -> Column:
+        hits = F.filter("hits", lambda h: h["w"].isin(*sorted(index)))
+        return F.flatten(F.transform(hits, lambda h: F.transform(_postings(index)[h["w"]], lambda x: F.struct(x["t"].alias("t"), (h["i"] - x["p"]).alias("o")))))
+
+    looked = looked.withColumn("starts", F.array_sort(starts(index))).withColumn("name_starts", F.array_sort(starts(names)))
     before = AGREEING - 1
     agreed = let(F.col("starts"), lambda starts: F.filter(starts, lambda x, i: F.when(i >= before, F.get(starts, i - before) == x).otherwise(False)))
     looked = looked.withColumn("agreed", F.array_distinct(agreed))
@@ -136,26 +153,21 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     looked = looked.withColumn("verified", verified)
     scores = let(words, lambda words: F.transform("verified", lambda x: F.struct(template(x)["label"].alias("label"), share(words, x).alias("score"))))
 
-    phrases = F.array(*[F.struct(F.lit(label).alias("label"), _words(p).alias("words")) for p, label in BASE.items()])
-    firsts = F.transform("words", lambda w, i: F.when(w.isin(*{p.split()[0] for p in BASE}), i))
-    looked = looked.withColumn("firsts", F.filter(firsts, lambda i: i.isNotNull()))
-
-    def places_of(b: Column, at: Column) -> Column:
-        standing = F.filter(at["firsts"], lambda i: _standing(at["words"], i, b["words"]))
-        return F.transform(standing, lambda i: F.struct(b["label"].alias("label"), i.alias("start")))
-
-    base = let(F.struct("words", "firsts"), lambda at: F.flatten(F.transform(phrases, lambda b: places_of(b, at))))
+    entries = F.array(*[F.struct(F.lit(label).alias("label"), _words(name).alias("words")) for name, label in BASE.items()])
+    standing = let(words, lambda words: F.filter("name_starts", lambda x: _standing(words, x["o"], F.get(entries, x["t"])["words"])))
+    base = F.transform(standing, lambda x: F.struct(F.get(entries, x["t"])["label"].alias("label"), x["o"].alias("start")))
     base = F.when(words.isNotNull(), base)
     none = [F.expr("cast(array() as array<struct<label:string,start:int>>)"), F.expr("cast(array() as array<struct<label:string,score:double>>)")]
     return looked.select("doc_id", "n_words", F.coalesce(base, none[0]).alias("base_places"), F.coalesce(scores, none[1]).alias("template_scores"))
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labels and base places of every document."""
+    """The labels and base places of every document; score is the best template's, or NAME_SCORE for a name alone."""
     found = scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     base, more = (F.transform(c, lambda x: x["label"]) for c in ("base_places", "template_scores"))
     starts = F.transform("base_places", lambda x: x["start"].cast("long"))
-    score = F.when(F.size("base_places") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("template_scores", lambda x: x["score"])), F.lit(0.0)))
+    best = F.array_max(F.transform("template_scores", lambda x: x["score"]))
+    score = F.coalesce(best, F.when(F.size("base_places") > 0, F.lit(NAME_SCORE)).otherwise(F.lit(0.0)))
 
     def listed(labels: Column) -> Column:
         return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
