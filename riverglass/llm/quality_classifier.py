@@ -20,7 +20,7 @@ from .wordhash import MARK, chunks, cut, mix
 BITS = 18
 #: Features of a token, and the scale of their shares.
 PER_TOKEN, SCALE = 4, 40.0
-ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.0, 0.01, 4
+ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.05, 0.01, 4
 #: The most labelled rows that training reads, those with the smallest hash of their id.
 SAMPLE = 4096
 
@@ -84,7 +84,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Weights from labelled documents whose crc32(id as text) mod 3 is not 1, at most sample labels of them.
 
     Null ids and labels are not used. The sample has the smallest hashes of the id, and examples come in that order
-    (then by id, label, text), so a rerun gives the same weights. Without any example every weight is 0.
+    (then by id, label, text), so a rerun gives the same weights. Without any example, as in an empty table, every
+    weight is 0. A null or empty text is an example of the intercept alone; a label whose id repeats counts each time,
+    and so does a document. Texts are read whole; other columns are not read, whatever their names.
     """
     tune(docs.sparkSession)
     known = pick(labels, doc_id=id_col, label=label_col).where("doc_id is not null and label is not null and crc32(cast(doc_id as string)) % 3 <> 1")
@@ -100,7 +102,8 @@ def score(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text_col: str
     """Return per row of docs: doc_id, score (0 to 1), predicted (1 from 0.5 on), then the columns named by keep.
 
     One row in, one row out; null ids and repeated rows are kept; a null, empty or blank text is scored by the
-    intercept alone; a text of any length is scored whole; an empty table gives an empty one.
+    intercept alone; a text of any length is scored whole; an empty table gives an empty one. Other columns are not
+    read, unless keep names them, whatever their names.
     """
     tune(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
@@ -125,7 +128,11 @@ def score(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text_col: str
 
 
 def keep_good(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose text is predicted good, with all columns as they are."""
+    """The rows of docs whose text is predicted good, with all columns as they are, clashing names too.
+
+    A null or empty text is kept or dropped by the intercept alone; rows with one text share a fate, whatever their
+    ids; an empty table gives an empty one.
+    """
     names = docs.columns
     plain = [f"c{i}" for i in range(len(names))]
     found = score(docs.toDF(*plain), weights, plain[names.index(id_col)], plain[names.index(text_col)], keep=tuple(plain))
