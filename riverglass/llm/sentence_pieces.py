@@ -1,9 +1,10 @@
 """Operator 8, SentencePiece encoding and decoding: an Aho-Corasick automaton drives a single-pass Viterbi.
 
 The automaton reads a text once. At each position the state and its output links give all pieces that end there,
-and each relaxes the best path that ends with it. In a unigram model every path counts and the sum of scores
-decides. In a model of merges a path counts only where its last two pieces are what merging their joined text
-leaves, which makes the path unique and its ids those of the merges.
+and each relaxes the best score of the paths that end with it. In a unigram model every path counts. In a model of
+merges a path counts only where its last two pieces are what merging their joined text leaves. One path counts at
+most then, so the first that does has the best score, the links after it need not be followed, and its ids are those
+of the merges.
 """
 
 from __future__ import annotations
@@ -141,7 +142,7 @@ class Pieces:
         takes up the pass at the end of what it shares with the word before.
         """
         merges, steps, ends, scores, pairs, known = self.kind == MERGES, self.steps, self.ends, self.scores, self.pairs, self.ids
-        # at each place: the automaton's state, the best path's sum (None: no path), last piece and its start
+        # at each place: the automaton's state, the best path's score (None: no path), last piece and its start
         states, best, last, came = [0], [0.0], [_UNSEEN], [0]
         shown = ""
         for word in words:
@@ -165,14 +166,14 @@ class Pieces:
                     if merges:
                         pair = last[start] << 32 | piece
                         fits = pairs.get(pair)
-                        if fits or fits is None and self._fits(pair):
-                            top, piece_at, from_at = 0.0, piece, start
-                            break  # no other path can count
-                    else:
-                        total += scores[piece]
-                        if top is None or total > top:
-                            top, piece_at, from_at = total, piece, start
-                if c not in known and best[i] is not None:
+                        if not (fits or fits is None and self._fits(pair)):
+                            continue
+                    total += scores[piece]
+                    if top is None or total > top:
+                        top, piece_at, from_at = total, piece, start
+                    if merges:
+                        break  # no other path can count
+                if c not in known and best[i] is not None and (top is None or not merges):
                     total = best[i] + self.unseen_score
                     if top is None or total > top:
                         top, piece_at, from_at = total, _UNSEEN, i
@@ -232,7 +233,8 @@ def encode_pieces(docs: DataFrame, model: str | None = None, id_col: str = "doc_
     decoded (the text that the ids give), then the columns named by keep.
 
     One row in, one row out; null ids and repeated rows are kept; a null or empty text has no ids; a text of any
-    length is encoded whole; an empty table gives an empty one.
+    length is encoded whole; an empty table gives an empty one. Other columns are not read, unless keep names them;
+    they may clash with those returned.
     """
     tune(docs.sparkSession, rows=ROWS)
     path = model or model_path()
@@ -256,7 +258,11 @@ def encode_pieces(docs: DataFrame, model: str | None = None, id_col: str = "doc_
 
 
 def decode_pieces(encoded: DataFrame, model: str | None = None, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
-    """Add to each row the text of its ids; null ids give an empty text."""
+    """Add to each row the text of its ids; null ids give an empty text.
+
+    One row in, one row out, all columns as they are, clashing names too; repeated rows are decoded each; an empty
+    table gives an empty one; of two columns named ids_col the first counts.
+    """
     path = model or model_path()
     names = encoded.columns
     place = names.index(ids_col)
