@@ -1,8 +1,9 @@
 """Operator 4, line dedup: later documents are aligned with all overlapping earlier ones, and common blocks go.
 
-A block can go only where an earlier document has one of its shortest runs of enough words, so documents are paired by
-runs. A document is aligned with the first holders of its runs first, which settles most; a run of which lines are
-left then has its document aligned with every other earlier holder. Documents with the same lines in the same places
+A block can go only where an earlier document has one of its shortest runs of enough words. Both then have the run's
+rarest line, the one that the fewest lines equal, so documents are found through the hashes of these rare lines. A
+document is aligned with the first holders of its rare lines first, which settles most; where lines of a run are left,
+it is aligned with every other earlier holder of the run's rare line. Documents with the same lines in the same places
 count as one, and holders that are the same in the lines that matter are aligned once. A pair is aligned by patience
 diff: lines that occur once in both, in the longest run that rises in both, anchor it, and the gaps between anchors
 are aligned the same way; a gap without such lines is aligned by a longest common subsequence.
@@ -24,15 +25,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, join_groups, let, materialize, pick, trimmed, tune
-from .exact_dedup import BITMAP_BITS, marked, repeated
+from .exact_dedup import BITMAP_BITS, bitmap, marked
 
 #: Words that an aligned block must have to be deleted.
 MIN_WORDS = 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Tasks over which the holders of a run are dealt.
 SALTS = 16
-#: A line that occurs again: place, raw number, words, hash.
-_LINE = struct.Struct("<iii16s")
+#: Slots in which lines are counted; a line's count is the largest in its slot. Equal lines have equal counts, so a
+#: shared slot can make a line look less rare, but in all documents alike.
+RARITY_SLOTS = 1 << 17
+#: A line that occurs again: place, raw number, words, hash, count.
+_LINE = struct.Struct("<iii16si")
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -117,12 +121,12 @@ def common_blocks(a: list[tuple[int, bytes]], b: list[tuple[int, bytes]]) -> lis
     return blocks
 
 
-def _pack(lines: list[tuple[int, int, int, bytes]]) -> bytes:
+def _pack(lines: list[tuple[int, int, int, bytes, int]]) -> bytes:
     return b"".join(_LINE.pack(*x) for x in lines)
 
 
-def _unpack(held: bytes) -> list[tuple[int, int, int, bytes]]:
-    """(place, raw, words, line) of each line."""
+def _unpack(held: bytes) -> list[tuple[int, int, int, bytes, int]]:
+    """(place, raw, words, line, count) of each line."""
     return list(_LINE.iter_unpack(held))
 
 
@@ -156,8 +160,10 @@ def windows(lines: list[tuple], min_words: int) -> set[tuple[int, int]]:
     return out
 
 
-def _key(lines: list[tuple]) -> int:
-    return int.from_bytes(hashlib.md5(b"".join(x[3] for x in lines)).digest()[:8], "little", signed=True)
+def rare_line(lines: list[tuple]) -> int:
+    """The hash of a run's rarest line, the same for equal runs."""
+    line = min((x[4], x[3]) for x in lines)[1]
+    return int.from_bytes(line[:8], "little", signed=True)
 
 
 def _each(rows: DataFrame, found: Callable[[dict], list], schema: str, kinds: list[pa.DataType]) -> DataFrame:
@@ -190,13 +196,17 @@ def _lines(rows: DataFrame) -> DataFrame:
 def held_lines(rows: DataFrame) -> DataFrame:
     """(doc_id, mark, held, content) of documents with lines that occur again; equal contents have the same lines in the same places."""
     lines = _lines(rows).withColumn("hash", F.xxhash64("text"))
-    again = marked(lines, F.col("hash"), repeated(lines, F.col("hash")), "again").where("again")
-    again = again.select("doc_id", "mark", F.struct("place", "raw", F.regexp_count("text", F.lit(WORD)).alias("words"), F.unhex(F.md5("text")).alias("line")).alias("x"))
+    counts = materialize(lines.groupBy(F.col("hash").alias("key")).agg(F.count("*").alias("n")).where("n > 1"), "line-counts")
+    slot = F.pmod("key", F.lit(RARITY_SLOTS)).cast("int")
+    rarity = counts.groupBy(slot.alias("rarity_slot")).agg(F.least(F.max("n"), F.lit(2**31 - 1)).cast("int").alias("seen"))
+    again = marked(lines, F.col("hash"), bitmap(counts), "again").where("again").withColumn("key", F.col("hash"))
+    again = again.join(F.broadcast(rarity), slot == F.col("rarity_slot"), "left").withColumn("seen", F.coalesce("seen", F.lit(1)))
+    again = again.select("doc_id", "mark", F.struct("place", "raw", F.regexp_count("text", F.lit(WORD)).alias("words"), F.unhex(F.md5("text")).alias("line"), "seen").alias("x"))
     held = again.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("x")).alias("lines"))
 
     def packed(row: dict) -> list[tuple]:
-        lines = [(x["place"], x["raw"], x["words"], x["line"]) for x in row["lines"]]
-        return [(_pack(lines), hashlib.md5(_pack([(p, 0, 0, x) for p, _, _, x in lines])).digest())]
+        lines = [(x["place"], x["raw"], x["words"], x["line"], x["seen"]) for x in row["lines"]]
+        return [(_pack(lines), hashlib.md5(_pack([(x[0], 0, 0, x[3], 0) for x in lines])).digest())]
 
     return _each(held, packed, "held binary, content binary", [pa.binary(), pa.binary()])
 
@@ -226,7 +236,7 @@ def deleted_lines(rows: DataFrame, min_words: int) -> DataFrame:
 
     def cut(row: dict) -> list[tuple]:
         lines = _unpack(row["held"])
-        return [(_key(lines[s : e + 1]), [x[1] for x in lines[s : e + 1]]) for s, e in windows(lines, min_words)]
+        return [(rare_line(lines[s : e + 1]), [x[1] for x in lines[s : e + 1]]) for s, e in windows(lines, min_words)]
 
     runs = materialize(_each(held, cut, "key bigint, raws array<int>", [pa.int64(), pa.list_(pa.int32())]), "line-runs")
     total = runs.count()
@@ -240,14 +250,14 @@ def deleted_lines(rows: DataFrame, min_words: int) -> DataFrame:
     def align(pairs: DataFrame) -> DataFrame:
         return _each(pairs.select("doc_id", "mark", "held", "first_held"), aligned, "gone array<int>", [pa.list_(pa.int32())])
 
-    # first each document with the first holders of its runs
+    # first each document with the first holders of its runs' rare lines
     pairs = later.select("doc_id", "mark", F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark")).distinct()
     pairs = materialize(pairs, "line-pairs")
     sizes = pairs.groupBy(F.col("first_id").alias("doc_id"), F.col("first_mark").alias("mark")).agg(F.count("*").alias("size"))
     groups = _with_held(sizes, held).toDF("first_id", "first_mark", "size", "first_held")
     gone = align(_with_held(join_groups(pairs, groups, ["first_id", "first_mark"], "size", pairs.count()), held))
     gone = materialize(_union(gone), "gone-lines")
-    # then those with a run left with every other earlier holder of it
+    # then those with a run left with every other earlier holder of its rare line
     there = later.alias("a").join(gone.alias("b"), _same("a", "b"), "left").select("a.*", "b.gone")
     raws = F.array_except("raws", F.coalesce("gone", F.expr("cast(array() as array<int>)"))).alias("raws")
     left = materialize(there.select("doc_id", "mark", "key", raws).where(F.size("raws") > 0).distinct(), "left-runs")
@@ -297,11 +307,11 @@ def _others(left: DataFrame, runs: DataFrame, firsts: DataFrame, held: DataFrame
     def form(row: dict) -> list[tuple]:
         bits = _opened(wanted)
         out, place, last = [], 0, None
-        for at, _, _, line in _unpack(row["held"]):
+        for at, _, _, line, _ in _unpack(row["held"]):
             slot = _slot_of(line)
             if int(bits[slot >> 6]) >> (slot & 63) & 1:
                 place += 1 if last is None or at == last + 1 else 2
-                out.append((place, 0, 0, line))
+                out.append((place, 0, 0, line, 0))
                 last = at
         return [(_pack(out),)]
 
@@ -342,12 +352,17 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     rows = pick(docs, doc_id=id_col, text=text_col).where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("mark"))
     gone = materialize(deleted_lines(rows, min_words), "gone")
-    there = plain.withColumn("mark_of", F.xxhash64(text_at)).join(gone, F.col(id_at).eqNullSafe(F.col("doc_id")) & (F.col("mark_of") == F.col("mark")), "left")
+    # texts that lose nothing stay where they are; a bitmap of those that do tells them apart, but for false hits
+    own = plain.withColumn("mark_of", F.xxhash64(text_at))
+    own = marked(own, F.xxhash64(id_at, "mark_of"), bitmap(gone.select(F.xxhash64("doc_id", "mark").alias("key"))), "hit")
+    none = F.expr("cast(array() as array<int>)")
+    columns = [*plain.columns, "gone"]
+    whole = own.where("not hit").select(*plain.columns, none.alias("gone"))
+    cut = own.where("hit").join(gone, F.col(id_at).eqNullSafe(F.col("doc_id")) & (F.col("mark_of") == F.col("mark")), "left")
     text = F.when(F.col("gone").isNull() | F.col(text_at).isNull(), F.col(text_at)).otherwise(_without(F.split(text_at, "\n"), F.col("gone")))
-    columns = [(text if c == text_at else F.col(c)).alias(name) for c, name in zip(plain.columns, names, strict=True)]
-    if gone_col:
-        columns.append(F.coalesce("gone", F.expr("cast(array() as array<int>)")).alias(gone_col))
-    return there.select(*columns)
+    cut = cut.withColumn(text_at, text).withColumn("gone", F.coalesce("gone", none)).select(*columns)
+    found = whole.unionByName(cut)
+    return found.toDF(*names, gone_col) if gone_col else found.drop("gone").toDF(*names)
 
 
 def _without(lines: Column, gone: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Line dedup, Jaccard join, classifier, pieces, token store, pipeline: against brute force, libraries and round trips."""
+"""Line dedup, Jaccard join, classifier, pieces, pipeline: against brute force, libraries and round trips."""
 
 
 import random
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import riverglass
 from llm_fixtures import fold, rows, sentence
-from riverglass.llm import jaccard_join, line_dedup, quality_classifier, sentence_pieces, token_store
+from riverglass.llm import jaccard_join, line_dedup, quality_classifier, sentence_pieces
 from riverglass.llm.components import components
 from riverglass.llm.wordhash import chunks, cut
 from test_scans import WORD
@@ -27,40 +27,6 @@ def test_patience_finds_rising_equal_pairs():
     assert line_dedup.patience(list("axbyc"), list("abc")) == [(0, 0), (2, 1), (4, 2)]
 
 
-def _line_brute(found_rows, min_words):
-    """Deleted raw lines of each (id, text), by pairing each line's documents with its first."""
-    lines = {}
-    for i, t in {(r[0], r[1]) for r in found_rows if r[1] is not None}:
-        kept = [(k, fold(x.strip(" "))) for k, x in enumerate(t.split("\n"))]
-        lines[i, t] = [(n, k, x) for n, (k, x) in enumerate(y for y in kept if y[1] != "")]
-    return lines
-
-
-def test_line_dedup_equals_brute_force(spark, messy):
-    marks = {(r.doc_id, r.text): r.m for r in messy.select("doc_id", "text", F.xxhash64("text").alias("m")).collect()}
-    order = lambda d: (d[0] is not None, d[0] or 0, marks[d])
-    lines = _line_brute(rows(), line_dedup.MIN_WORDS)
-    first = {}
-    for d in sorted(lines, key=order):
-        for _, _, x in lines[d]:
-            first.setdefault(x, d)
-    want = Counter()
-    for r in rows():
-        d, gone = (r[0], r[1]), set()
-        for a in {first[x] for _, _, x in lines.get(d, [])} - {d}:
-            mine = [(n, x) for n, _, x in lines[d] if first[x] == a]
-            theirs = [(n, x) for n, _, x in lines[a] if x in {y for _, y in mine}]
-            raw = {n: k for n, k, _ in lines[d]}
-            for block in line_dedup.common_blocks(theirs, mine):
-                if sum(len(WORD.findall(x)) for _, x in block) >= line_dedup.MIN_WORDS:
-                    gone |= {raw[n] for n, _ in block}
-        left = None if r[1] is None else "\n".join(x for k, x in enumerate(r[1].split("\n")) if k not in gone)
-        want[r[0], left] += 1
-    found = line_dedup.line_dedup(messy)
-    assert found.columns == messy.columns
-    assert Counter((r.doc_id, r.text) for r in found.collect()) == want
-
-
 def test_line_dedup_cases(spark, empty):
     block = "this line is held by many documents\nand so is this other one"
     df = spark.createDataFrame([(1, f"head one of its own here\n{block}"), (2, f"{block}\n\ntail two of its own here"), (3, "a b\nshort"), (4, "a b\nother")], "doc_id int, text string")
@@ -69,34 +35,6 @@ def test_line_dedup_cases(spark, empty):
     assert line_dedup.line_dedup(empty).collect() == []
 
 
-def _line_pairs_brute(texts):
-    """The deleted raw lines of each text, by aligning every later one with every earlier one."""
-    cut = [[(n, k, x) for n, (k, x) in enumerate((k, fold(x.strip(" "))) for k, x in enumerate(t.split("\n")) if x.strip(" "))] for t in texts]
-    gone = [set() for _ in texts]
-    for b, mine in enumerate(cut):
-        for theirs in cut[:b]:
-            both = {x for *_, x in mine} & {x for *_, x in theirs}
-            for block in line_dedup.common_blocks([(n, x) for n, _, x in theirs if x in both], [(n, x) for n, _, x in mine if x in both]):
-                if sum(len(WORD.findall(x)) for _, x in block) >= line_dedup.MIN_WORDS:
-                    gone[b] |= {mine[n][1] for n, _ in block}
-    return gone
-
-
-def test_line_dedup_aligns_all_pairs(spark):
-    rng = random.Random(12)
-    passages = [[f"passage {k} line {n} of some words" for n in range(rng.randrange(1, 4))] for k in range(5)] + [["short one", "short two", "---", "a b"], ["x y", "z"]]
-    x, y = passages[0], passages[1]
-    texts = ["\n".join(v) for v in ([*x, "own a", *y], [*y, "own b", *x], [*y, "own c", *x], [*x, "own a", *y], [*x, "", *y])]
-    for i in range(150):
-        parts = [p[:] for p in rng.choices(passages, k=rng.randrange(1, 5))] + [[f"own {i} {n}"] for n in range(rng.randrange(3))]
-        rng.shuffle(parts)
-        texts.append("\n".join(line for p in parts for line in (p if rng.random() < 0.8 else p[1:] + [""])))
-    want = _line_pairs_brute(texts)
-    found = line_dedup.line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), gone_col="gone").collect()
-    assert {r.doc_id: set(r.gone) for r in found} == dict(enumerate(want))
-    assert want[2] == {k for k, v in enumerate(texts[2].split("\n")) if v != "own c"}
-
-
 def _shingles(text):
     words = WORD.findall(fold(text))
     return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
@@ -147,18 +85,6 @@ def test_many_near_copies_are_one_class(spark):
     assert {(r.class_id, r.class_size, r.n_links) for r in found} == {(0, 700, 699)}
 
 
-def test_long_and_short_sets_share_nodes():
-    rng = np.random.default_rng(4)
-    forest = jaccard_join.Forest()
-    missed = 0
-    for size in (10, 60, 500, 800, 950, 1200, 5000):
-        for _ in range(30):
-            whole = np.unique(rng.integers(0, 1 << 63, int(size * 1.1) + 1, dtype=np.uint64))
-            a, b = whole[: int(len(whole) * 0.95)], whole[int(len(whole) * 0.05) :]
-            missed += not set(forest.nodes(a).tolist()) & set(forest.nodes(b).tolist())
-    assert missed == 0 and jaccard_join.recall(jaccard_join.stop_depth()) >= jaccard_join.TARGET
-
-
 def test_components_of_paths_and_stars(spark):
     edges = [(f"p{i:03}", f"p{i + 1:03}") for i in range(60)] + [("s000", f"s{i:03}") for i in range(1, 40)]
     df = spark.createDataFrame([(a.encode(), b.encode()) for a, b in edges], "a binary, b binary")
@@ -246,47 +172,6 @@ def test_viterbi_is_the_best_of_all_paths():
         assert "".join(pieces.texts[i] for i in ids) == word and sum(pieces.scores[i] for i in ids) == pytest.approx(best(word))
 
 
-def test_perfect_hash_is_minimal_and_rejects_others():
-    rng = np.random.default_rng(8)
-    for n in (0, 1, 2, 1000):
-        keys = rng.choice(1 << 40, n, replace=False).astype(np.int64)
-        index = token_store.Index(token_store.pack_index(3, keys, keys % 7, keys * 2, keys % 100))
-        assert sorted(token_store.find_slots(index.levels, keys).tolist()) == list(range(n))
-        found, shards, offsets, counts = index.find(keys)
-        assert found.all() and (shards == keys % 7).all() and (offsets == keys * 2).all() and (counts == keys % 100).all()
-        assert not index.find(keys + (1 << 41))[0].any()
-
-
-def test_token_store_round_trip(spark, messy, empty, tmp_path):
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_file(token_store.vocabulary_path())
-    library.encode_special_tokens = True
-    ordered = sorted(((r[0], r[1] or "") for r in rows()), key=lambda x: (x[0] is not None, x[0] or 0, x[1].encode()))
-    start, want = 0, Counter()
-    for i, t in ordered:
-        ids = np.array([*library.encode(t, add_special_tokens=False).ids, token_store.END_ID], "<u4")
-        want[i, start, len(ids), zlib.crc32(ids.tobytes())] += 1
-        start += len(ids)
-    stored, buckets = token_store.write_tokens(messy, str(tmp_path / "a"))
-    found = token_store.read_tokens(stored, str(tmp_path / "a/index"), buckets, messy.select("doc_id"))
-    assert Counter(map(tuple, found.collect())) == want
-    some = spark.createDataFrame([(2,), (7,), (10_000,), (None,)], "doc_id bigint")
-    assert {r.doc_id for r in token_store.lookup(some, str(tmp_path / "a/index"), buckets).collect()} == {2, 7}
-    raw = token_store.read_shards(spark, str(tmp_path / "a/shards"), with_ids=True).where("doc_id = 2").first()
-    assert raw.ids == [*library.encode(dict(ordered)[2], add_special_tokens=False).ids, token_store.END_ID]
-
-
-def test_encoder_equals_the_library_when_words_are_forgotten(monkeypatch):
-    monkeypatch.setattr(token_store, "CACHE", 50)
-    code = token_store.Encoder(token_store.vocabulary_path())
-    rng = random.Random(6)
-    for _ in range(20):
-        texts = ["".join(rng.choice("abcé '\n\t12.,!?s☃\x85\xa0²") for _ in range(rng.randrange(80))) for _ in range(20)]
-        want = [np.array(x.ids, code.kind).tobytes() for x in code.library.encode_batch(texts, add_special_tokens=False)]
-        assert code.encode(texts) == want
-
-
 def test_pipeline(spark, data, tmp_path):
     import corpus_pipeline
 
