@@ -61,6 +61,11 @@ def group_vector(measures: Column, names: Sequence[str]) -> Column:
     return F.when(there, F.array(*[F.coalesce(F.element_at(measures, F.lit(n)), F.lit(0.0)) for n in names]))
 
 
-def envelope(window: str, transaction_id: Column, checkpoint_id: Column) -> Column:
-    """A window's transport JSON, with the transaction that sends it."""
-    return F.to_json(F.struct(f"{window}.*", transaction_id.alias("transaction_id"), checkpoint_id.alias("checkpoint_id")))
+def envelope(transaction_id: Column, checkpoint_id: Column) -> Column:
+    """The transport JSON of a row that is a window record: its twelve fields, and the transaction that sends it."""
+    return F.to_json(F.struct(transaction_id.alias("transaction_id"), checkpoint_id.alias("checkpoint_id"), *schemas.WINDOW_FIELDS))
+
+
+def parse_window(value: Column) -> Column:
+    """A window record from JSON, an envelope's too; null fields where they are missing."""
+    return F.from_json(value, schemas.WINDOW_DDL, PERMISSIVE)

@@ -25,6 +25,11 @@ WINDOW_DDL = (
     "message_ids array<string>, idempotency_keys array<string>, edge_processed_timestamp_ms bigint, is_suspect_window boolean, metadata map<string,string>"
 )
 
+WINDOW_FIELDS = (
+    "window_id", "device_id", "window_start_ms", "window_end_ms", "message_count", "aggregated_measurements", "aggregated_anomaly_scores",
+    "message_ids", "idempotency_keys", "edge_processed_timestamp_ms", "is_suspect_window", "metadata",
+)
+
 ALERT_DDL = (
     "alert_id string, device_id string, alert_type string, severity string, timestamp_ms bigint, alert_title string, alert_description string, "
     "anomaly_group string, anomaly_score double, anomaly_threshold double, related_message_ids array<string>, related_window_ids array<string>, "

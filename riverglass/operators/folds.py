@@ -15,20 +15,22 @@ from pyspark.sql import DataFrame
 Step = Callable[[Any, dict[str, Any]], tuple[Any, dict[str, Any]]]
 
 
-def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], init: Callable[[], Any], step: Step, added: str) -> DataFrame:
+def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], init: Callable[[], Any], step: Step, added: str, reads: Sequence[str] | None = None) -> DataFrame:
     """Add columns (a DDL string) that step gives for each row of a key in order.
 
-    step takes the state, which starts as init(), and a row, and returns the next state and the added columns.
+    step takes the state, which starts as init(), and a row, and returns the next state and the added columns. The
+    row has the keys and the columns that reads names, all if it names none; the others stay in Arrow.
     """
     names = [x.strip().split(" ")[0] for x in added.split(",")]
     columns = df.columns
+    seen = list(dict.fromkeys([*keys, *(columns if reads is None else reads)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state = object(), None
         types = None
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            for row in batch.to_pylist():
+            for row in batch.select(seen).to_pylist():
                 here = tuple(row[k] for k in keys)
                 if here != key:
                     key, state = here, init()

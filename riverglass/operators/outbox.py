@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.anomaly import backoff_ms
+from ..functions.times import MINUTE_MS
 
 EXPIRY_MS, MOST_RETRIES, MOST_BYTES = 24 * 3_600_000, 5, 1 << 30
 
@@ -33,10 +34,17 @@ def take(outbox: DataFrame, n: int, now_ms: int) -> DataFrame:
 
 def store(outbox: DataFrame, new: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
     """The outbox with new messages, in order, as long as their payloads fit; the rest is refused."""
-    used = outbox.agg(F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("used"))
-    upto = Window.orderBy("stored_timestamp_ms", "message_id").rowsBetween(Window.unboundedPreceding, -1)
-    sized = new.withColumn("_before", F.coalesce(F.sum(F.octet_length("payload")).over(upto), F.lit(0)))
-    fits = sized.join(F.broadcast(used), F.col("used") + F.col("_before") < most_bytes).drop("_before", "used")
+    size = F.octet_length("payload").cast("long")
+    used = outbox.agg(F.coalesce(F.sum(size), F.lit(0)).alias("used"))
+    # bytes of earlier minutes first, then within a minute, so that no task sees all new messages
+    timed = new.withColumn("_minute", F.floor(F.col("stored_timestamp_ms") / MINUTE_MS))
+    minutes = timed.groupBy("_minute").agg(F.sum(size).alias("_bytes"))
+    earlier = F.coalesce(F.sum("_bytes").over(Window.orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    minutes = minutes.select(F.col("_minute").alias("_at"), earlier.alias("_earlier"))
+    minutes = minutes.join(F.broadcast(used), F.col("used") + F.col("_earlier") < most_bytes)  # one row
+    upto = Window.partitionBy("_minute").orderBy("stored_timestamp_ms", "message_id").rowsBetween(Window.unboundedPreceding, -1)
+    sized = timed.join(minutes, F.col("_minute") == F.col("_at")).withColumn("_before", F.coalesce(F.sum(size).over(upto), F.lit(0)))
+    fits = sized.where(F.col("used") + F.col("_earlier") + F.col("_before") < most_bytes).select(*new.columns)
     return outbox.unionByName(fits)
 
 

@@ -35,9 +35,6 @@ def map_points(df: DataFrame, dimensions: Sequence[str], time: str, values: str)
     return long.select(*dimensions, "measure_name", F.lit("DOUBLE").alias("measure_value_type"), "measure_value", "time")
 
 
-MEASURE_POINTS = {"avg": ("DOUBLE", F.col), "max": ("DOUBLE", F.col), "min": ("DOUBLE", F.col), "stddev": ("DOUBLE", F.col)}
-
-
 def stat_points(stats: DataFrame, dimensions: Sequence[str], time: str, group: str = "measure", with_count: bool = False) -> DataFrame:
     """avg, max, min and stddev of each group's statistics, and their count if asked for."""
     values = {"avg": ("DOUBLE", F.col("avg")), "max": ("DOUBLE", F.col("max")), "min": ("DOUBLE", F.col("min")), "stddev": ("DOUBLE", F.col("std_dev"))}
@@ -62,18 +59,29 @@ def window_points(windows: DataFrame, dimensions: Sequence[str], time: str = "wi
     return points(windows, dimensions, time, values)
 
 
-def alert_points(alerts: DataFrame, level: Column) -> DataFrame:
-    """Score, threshold and severity level of each alert, with five dimensions."""
+def json_points(rows: DataFrame, numbers: Column, scores: dict[str, Column], dimensions: dict[str, Column], time: str, keep: Sequence[str] = ()) -> DataFrame:
+    """A DOUBLE point for each entry of a map of numbers and for each named score, with the same dimensions."""
+    added = F.create_map(*[x for name, value in scores.items() for x in (F.lit(name), value.cast("double"))])
+    long = rows.select(*keep, *[v.alias(k) for k, v in dimensions.items()], F.col(time).alias("time"), F.explode(F.map_concat(numbers, added)).alias("measure_name", "measure_value"))
+    return long.where("measure_value is not null").withColumn("measure_value_type", F.lit("DOUBLE"))
+
+
+def alert_points(alerts: DataFrame, level: Column, measurements: str = "measurements_involved") -> DataFrame:
+    """Score, threshold, severity level and the measurements involved of each alert, with five dimensions."""
     values = {"anomaly_score": ("DOUBLE", F.col("score")), "anomaly_threshold": ("DOUBLE", F.col("threshold")), "severity_level": ("BIGINT", level)}
-    return points(alerts, ["device_id", "alert_id", "alert_type", "severity", "measure"], "timestamp_ms", values)
+    dimensions = ["device_id", "alert_id", "alert_type", "severity", "measure"]
+    involved = alerts.select(*dimensions, F.col("timestamp_ms").alias("time"), F.explode(measurements).alias("name", "measure_value")).where("measure_value is not null")
+    involved = involved.select(*dimensions, F.concat(F.lit("measurement_"), "name").alias("measure_name"), F.lit("DOUBLE").alias("measure_value_type"), "measure_value", "time")
+    return points(alerts, dimensions, "timestamp_ms", values).unionByName(involved)
 
 
-def time_series(long: DataFrame, name: str, start_ms: int, end_ms: int) -> DataFrame:
-    """One measure's (time, value) pairs of a closed time range, in order, as one array.
+def time_series(long: DataFrame, names: Sequence[str], start_ms: int, end_ms: int) -> DataFrame:
+    """Each named measure's (time, value) pairs of a closed time range, in order, as one array; one scan for all names.
 
-    The filters stand on plain columns, so they reach the scan; a dashboard's range is short, which bounds the array.
+    Over a store of points both filters are on its own columns and reach the scan. Where time is computed, cut the
+    source by times.between() as well. A dashboard's range is short, which bounds the arrays.
     """
-    there = long.where((F.col("measure_name") == name) & F.col("time").between(start_ms, end_ms))
+    there = long.where(F.col("measure_name").isin(*names) & F.col("time").between(start_ms, end_ms))
     series = F.array_sort(F.collect_list(F.struct("time", F.col("measure_value").cast("double").alias("value"))))
     return there.groupBy("measure_name").agg(series.alias("series"))
 

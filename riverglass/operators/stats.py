@@ -85,11 +85,45 @@ def _div(a: Column, b: int) -> Column:
     return (a / b).cast("long")
 
 
+def with_resets(df: DataFrame, keys: Sequence[str], order: str, reset: Column, into: str = "epoch") -> DataFrame:
+    """Add how many resets a key has had up to a row; a key and its epoch are a key that starts anew at a reset."""
+    so_far = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(into, F.count_if(reset).over(so_far))
+
+
 def index_quantile(df: DataFrame, keys: Sequence[str], value: str, share: float = 0.99) -> DataFrame:
-    """Per key, the value at place floor(n * share) of its sorted values; sorted by Spark, nothing collected."""
+    """Per key, the value at place floor(n * share) of its sorted values, and n.
+
+    Rows are counted by ranges of the value, which rise with it; only the rows of the range with the place are ranked,
+    so no task sorts all of a key.
+    """
+    v = F.col(value).cast("double")
+    span = (F.signum(v) * F.floor(F.log1p(F.abs(v)) * 1024)).cast("long")
+    there = df.where(F.col(value).isNotNull()).withColumn("_span", span)
+    counts = there.groupBy(*keys, "_span").agg(F.count("*").alias("_rows"))
     by = Window.partitionBy(*keys)
-    ranked = df.withColumn("_rank", F.row_number().over(by.orderBy(value)) - 1).withColumn("n", F.count("*").over(by))
-    return ranked.where(F.col("_rank") == F.floor(F.col("n") * F.lit(share))).select(*keys, "n", F.col(value).alias("quantile"))
+    counts = counts.withColumn("n", F.sum("_rows").over(by)).withColumn("_upto", F.sum("_rows").over(by.orderBy("_span").rowsBetween(Window.unboundedPreceding, 0)))
+    counts = counts.withColumn("_place", F.floor(F.col("n") * F.lit(share)) - (F.col("_upto") - F.col("_rows")))
+    last = counts.where("_place >= 0 AND _place < _rows").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_span").alias("_at"), "n", "_place")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_span") == F.col("_at")]
+    ranked = there.join(last, same).withColumn("_rank", F.row_number().over(by.orderBy(value)) - 1)
+    return ranked.where("_rank = _place").select(*keys, "n", F.col(value).alias("quantile"))
+
+
+def window_records(rows: DataFrame, keys: Sequence[str], order: Sequence[str], group: str, message_id: str, key: str, threshold: float = 1.0) -> DataFrame:
+    """Windows as records: keys, message_count, aggregated_measurements and aggregated_anomaly_scores (maps by group), message_ids, idempotency_keys.
+
+    rows has value and score; a map has one entry for each of a window's groups.
+    """
+
+    def folded(found: DataFrame, into: str) -> DataFrame:
+        rest = [c for c in found.columns if c not in (*keys, group)]
+        entries = F.array_sort(F.collect_list(F.struct(F.col(group).alias("key"), F.struct(*rest).alias("value"))))
+        return found.groupBy(*keys).agg(F.map_from_entries(entries).alias(into))
+
+    measured = folded(measurement_stats(rows, [*keys, group], order), "aggregated_measurements")
+    scored = folded(score_stats(rows, [*keys, group], threshold, time=order[0], tie=order[1]), "aggregated_anomaly_scores")
+    return collected_ids(rows, keys, order, message_ids=message_id, idempotency_keys=key).join(measured, [*keys], "left").join(scored, [*keys], "left")
 
 
 def running_rate(windows: DataFrame, keys: Sequence[str], order: str, anomalies: str, groups: str) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import anomaly, parsing
 from ..functions.times import DAY_MS, HOUR_MS, MINUTE_MS, floor_ms
-from ..operators import quality, stats, windows
-from .tables import SQL, readings
-from .window_queries import _DAILY, OFF_TIES, WINDOW, daily, rounded
+from ..operators import points, quality, stats, windows
+from .tables import SQL, THRESHOLD, readings
+from .window_queries import _DAILY, _SCORES, GRID, WINDOW, daily, gridded, rounded
 
 ORDER = ["edge_ms", "sequence_number"]
 
@@ -38,23 +38,57 @@ def json_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(spark, sf_dir).select("sequence_number", parsing.csv_line(text, "sample bigint, k bigint").alias("line"))
 
 
+def _three_scores() -> dict[str, Column]:
+    """Scores by the names that points and enriched messages give them."""
+    return {"anomaly_score_stream6": F.col("score"), "anomaly_score_stream9": F.col("k") / 40, "anomaly_score_stream_11": F.col("device_id") % 7 / 3}
+
+
 def json_long_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbers = parsing.numeric_map(F.col("json"))
-    odd = _json(spark, sf_dir).where("sequence_number % 2 = 1")
-    long = odd.select("sequence_number", "edge_ms", F.explode(F.map_concat(numbers, F.create_map(F.lit("anomaly_score_stream6"), F.col("score")))).alias("measure_name", "measure_value"))
-    return rounded(long.select("sequence_number", "measure_name", F.lit("DOUBLE").alias("measure_value_type"), "measure_value", F.col("edge_ms").alias("time"), F.lit("test-factory-1").alias("factory")), "measure_value")
+    """A point for each number of every flat message, and for its three scores."""
+    flat = F.to_json(F.struct(F.col("value").alias("xmeas_1"), F.col("k").alias("xmeas_2"), F.col("measure").alias("note")))
+    held = readings(spark, sf_dir).withColumn("numbers", parsing.numeric_map(flat))
+    found = points.json_points(held, F.col("numbers"), _three_scores(), {"factory": F.lit("test-factory-1")}, "edge_ms", ["sequence_number"])
+    return rounded(found, "measure_value")
 
 
 def enriched_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("proc_time_ms"), F.col("edge_ms").cast("string"), F.lit("anomaly_score_purge_gas"), F.col("device_id").cast("string")))
+    """Messages as objects of strings, with the time of processing and three scores."""
+    scores = {name: score.cast("decimal(12,4)").cast("string") for name, score in _three_scores().items()}
+    added = {"proc_time_ms": F.col("edge_ms").cast("string"), **scores}
+    texts = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(*[x for name, text in added.items() for x in (F.lit(name), text)]))
     return readings(spark, sf_dir).select("sequence_number", F.to_json(texts).alias("json"))
 
 
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a day as records."""
+    held = daily(spark, sf_dir).withColumn("id", F.col("sequence_number").cast("string")).withColumn("key", F.col("k").cast("string"))
+    found = stats.window_records(held, WINDOW, ORDER, "measure", "id", "key", THRESHOLD)
+    return found.withColumns(
+        {
+            "window_id": parsing.window_id(F.col("device_id"), F.col("window_start_ms"), F.col("window_end_ms")),
+            "device_id": F.col("device_id").cast("string"),
+            "edge_processed_timestamp_ms": F.col("window_end_ms") + 5000,
+            "is_suspect_window": F.size(F.array_distinct("idempotency_keys")) < F.size("idempotency_keys"),
+            "metadata": F.create_map(F.lit("messages"), F.col("message_count").cast("string")),
+        }
+    )
+
+
 def envelope_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = daily(spark, sf_dir).groupBy(*WINDOW).agg(F.count("*").alias("message_count"))
-    held = held.withColumn("window_id", parsing.window_id(F.col("device_id"), F.col("window_start_ms"), F.col("window_end_ms")))
-    sent = held.withColumn("window", F.struct("window_id", *WINDOW, "message_count"))
-    return sent.select("window_id", parsing.envelope("window", F.concat(F.lit("tx-"), F.col("window_id")), F.lit(-1)).alias("json"))
+    """What is read back from every window's envelope: its keys, and each of its fields."""
+    json = parsing.envelope(F.concat(F.lit("tx-"), F.col("window_id")), F.lit(-1))
+    sent = _records(spark, sf_dir).select(json.alias("json")).withColumn("w", parsing.parse_window(F.col("json")))
+    keys = F.array_join(F.array_sort(F.json_object_keys("json")), ",")
+    total = F.aggregate(F.map_values("w.aggregated_measurements"), F.lit(0.0), lambda a, x: a + x["sum"] + x["first"] * 2 + x["max"] * 3)
+    top = F.aggregate(F.map_values("w.aggregated_anomaly_scores"), F.lit(0.0), lambda a, x: F.greatest(a, x["max"]))
+    found = sent.select(
+        "w.window_id", "w.device_id", "w.window_start_ms", "w.window_end_ms", "w.message_count", "w.edge_processed_timestamp_ms", "w.is_suspect_window", keys.alias("keys"),
+        F.get_json_object("json", "$.transaction_id").alias("transaction_id"), F.get_json_object("json", "$.checkpoint_id").cast("long").alias("checkpoint_id"),
+        F.array_join("w.message_ids", ",").alias("message_ids"), F.array_join("w.idempotency_keys", ",").alias("idempotency_keys"),
+        F.array_join(F.array_sort(F.map_keys("w.aggregated_measurements")), ",").alias("measures"), total.alias("total"), top.alias("top"),
+        F.element_at("w.metadata", F.lit("messages")).alias("messages"),
+    )
+    return rounded(found, "total", "top")
 
 
 def stamped_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +101,9 @@ def stamped_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def idempotency_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.flag_duplicates(readings(spark, sf_dir), ["device_id", "k"], ["sequence_number"]).select("device_id", "sequence_number", "k", "is_duplicate")
+    """Every tenth key is missing, and such a message is nobody's duplicate."""
+    keyed = readings(spark, sf_dir).withColumn("key", F.when(F.col("k") % 10 > 0, F.col("k")))
+    return quality.flag_duplicates(keyed, ["device_id", "key"], ["sequence_number"]).select("device_id", "sequence_number", "k", "is_duplicate")
 
 
 def duplicate_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +190,14 @@ def cloud_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.accept_windows(held.select(*WINDOW, "window_key", "idempotency_keys"), ttl_ms=None).select(*WINDOW, "accepted")
 
 
+def cloud_window_dedup_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As cloud_window_dedup(), with transactions of four days, and keys that are forgotten after a week."""
+    held = _windows(spark, sf_dir).withColumn("window_key", parsing.window_id(F.col("device_id"), F.col("window_start_ms"), F.col("window_end_ms")))
+    held = held.withColumn("idempotency_keys", F.transform(F.array_distinct("keys"), lambda k: k.cast("string")))
+    held = held.withColumn("transaction_id", F.when(F.col("message_count") % 3 > 0, F.floor(F.col("window_start_ms") / (4 * DAY_MS))))
+    return quality.accept_windows(held.select(*WINDOW, "window_key", "idempotency_keys", "transaction_id"), 7 * DAY_MS, transaction="transaction_id").select(*WINDOW, "accepted")
+
+
 def out_of_order_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = _windows(spark, sf_dir).withColumn("arrival", F.col("window_start_ms") + F.col("message_count") % 3 * 2 * DAY_MS + F.col("message_count"))
     held = held.withColumn("arrival", F.col("arrival") * 100 + F.pmod(F.floor(F.col("window_start_ms") / DAY_MS), F.lit(100)))
@@ -174,8 +218,14 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clock_offset_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stats.rolling_offsets(_samples(spark, sf_dir), ["device_id"], "sequence_number")
-    found = found.withColumn("std_ms", F.col("std_ms") + OFF_TIES)
-    return rounded(found.select("device_id", "sequence_number", "offset_ms", "median_ms", "std_ms", "estimate_ms", "initialised"), "std_ms")
+    return gridded(found.select("device_id", "sequence_number", "offset_ms", "median_ms", "std_ms", "estimate_ms", "initialised"), "std_ms")
+
+
+def clock_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets where a device's clock is set anew, which forgets its samples."""
+    anew = stats.with_resets(_samples(spark, sf_dir), ["device_id"], "sequence_number", F.col("k") >= 97)
+    found = stats.rolling_offsets(anew, ["device_id", "epoch"], "sequence_number")
+    return found.select("device_id", "epoch", "sequence_number", "samples", "median_ms", "estimate_ms", "initialised", "exceed_count")
 
 
 def drift_exceeded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +258,7 @@ def bloom_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        json_map_parse, device_key_extract, json_to_csv, json_long_points, enriched_json, envelope_json, stamped_messages, idempotency_flag, duplicate_passthrough, sequence_gap,
+        json_map_parse, clock_reset, cloud_window_dedup_ttl, device_key_extract, json_to_csv, json_long_points, enriched_json, envelope_json, stamped_messages, idempotency_flag, duplicate_passthrough, sequence_gap,
         drift_excess, group_vectors, content_dedup, content_keys, time_content_dedup, sequence_validate, tie_count, suspect_windows, window_dedup_key, cloud_window_dedup,
         out_of_order_windows, receipt_metadata, clock_offset_rolling, drift_exceeded, timestamp_correction, clock_sampling_policy, legacy_window, bloom_sizing,
     )
@@ -218,37 +268,55 @@ _WINDOWS = f"""{_DAILY}, v AS (
   SELECT device_id, window_start_ms, window_end_ms, count(*) AS message_count, list(k ORDER BY edge_ms, sequence_number) AS keys,
          string_agg(lpad(sequence_number::VARCHAR, 12, '0'), ',' ORDER BY sequence_number) AS ids FROM w GROUP BY ALL
 )"""
-_CLOCK = f"""{SQL}, o AS (
-  SELECT device_id, sequence_number, edge_ms, (5000 + (k - 50) * 10 + CASE WHEN k = 99 THEN 20000 ELSE 0 END) - (50 + k % 50) // 2 AS offset_ms FROM e
+def _clock(key: str, source: str) -> str:
+    """Offset estimates over the samples of a key (columns of source)."""
+    on = " AND ".join(f"a.{c} = b.{c}" for c in key.split(", "))
+    mine, joined = ", ".join(f"a.{c}" for c in key.split(", ")), ", ".join(f"m.{c}" for c in key.split(", "))
+    return f"""{SQL}, i AS (
+  SELECT *, (5000 + (k - 50) * 10 + CASE WHEN k = 99 THEN 20000 ELSE 0 END) - (50 + k % 50) // 2 AS offset_ms,
+         count(*) FILTER (WHERE k >= 97) OVER (PARTITION BY device_id ORDER BY sequence_number ROWS UNBOUNDED PRECEDING) AS epoch FROM e
+), o AS (
+  SELECT {key}, sequence_number, edge_ms, offset_ms FROM {source}
 ), n AS (
-  SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY sequence_number) AS n FROM o
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY sequence_number) AS n FROM o
 ), j AS (
-  SELECT a.device_id, a.sequence_number, a.edge_ms, a.offset_ms, a.n, list_sort(list(b.offset_ms)) AS recent, stddev_pop(b.offset_ms) AS std_ms
-  FROM n a JOIN n b ON a.device_id = b.device_id AND b.n BETWEEN a.n - 99 AND a.n GROUP BY a.device_id, a.sequence_number, a.edge_ms, a.offset_ms, a.n
+  SELECT {mine}, a.sequence_number, a.edge_ms, a.offset_ms, a.n, list_sort(list(b.offset_ms)) AS recent, stddev_pop(b.offset_ms) AS std_ms
+  FROM n a JOIN n b ON {on} AND b.n BETWEEN a.n - 99 AND a.n GROUP BY {mine}, a.sequence_number, a.edge_ms, a.offset_ms, a.n
 ), m AS (
   SELECT *, CASE WHEN len(recent) % 2 = 1 THEN recent[len(recent) // 2 + 1] ELSE trunc((recent[len(recent) // 2] + recent[len(recent) // 2 + 1]) / 2.0::DOUBLE)::BIGINT END AS median_ms FROM j
 ), kept AS (
-  SELECT m.device_id, m.sequence_number, avg(b.offset_ms) AS mean FROM m JOIN n b ON m.device_id = b.device_id AND b.n BETWEEN m.n - 99 AND m.n
-  WHERE abs(b.offset_ms - m.median_ms) <= 2 * m.std_ms GROUP BY m.device_id, m.sequence_number
+  SELECT {joined}, m.sequence_number, avg(b.offset_ms) AS mean FROM m JOIN n b ON {on.replace("a.", "m.")} AND b.n BETWEEN m.n - 99 AND m.n
+  WHERE abs(b.offset_ms - m.median_ms) <= 2 * m.std_ms GROUP BY {joined}, m.sequence_number
 ), z AS (
   SELECT m.*, len(recent) >= 10 AS initialised, CASE WHEN len(recent) >= 10 THEN trunc(mean)::BIGINT END AS estimate_ms
-  FROM m LEFT JOIN kept USING (device_id, sequence_number)
+  FROM m LEFT JOIN kept USING ({key}, sequence_number)
 )"""
 
+
+_CLOCK = _clock("device_id", "i")
+
 ORACLES = {
     "json_map_parse": f"""WITH {SQL} SELECT sequence_number, CASE WHEN sequence_number % 2 = 0 THEN device_id::VARCHAR END AS device_id, CASE WHEN sequence_number % 2 = 0 THEN 1 ELSE 2 END AS measures,
         round(CASE WHEN sequence_number % 2 = 0 THEN value ELSE value + k END, 6) AS total FROM e""",
     "device_key_extract": f"""WITH {SQL} SELECT sequence_number, CASE WHEN sequence_number % 3 = 0 THEN 'd7' ELSE 'unknown' END AS device FROM e""",
     "json_to_csv": f"""WITH {SQL} SELECT sequence_number, sequence_number || ',' || k AS line FROM e""",
-    "json_long_points": f"""WITH {SQL}, p AS (SELECT sequence_number, edge_ms AS time, 'xmeas_1' AS measure_name, value AS v FROM e WHERE sequence_number % 2 = 1 UNION ALL
-        SELECT sequence_number, edge_ms, 'xmeas_2', k::DOUBLE FROM e WHERE sequence_number % 2 = 1 UNION ALL SELECT sequence_number, edge_ms, 'anomaly_score_stream6', score FROM e WHERE sequence_number % 2 = 1)
+    "json_long_points": f"""WITH {SQL}, p AS (SELECT sequence_number, edge_ms AS time, 'xmeas_1' AS measure_name, value AS v FROM e UNION ALL SELECT sequence_number, edge_ms, 'xmeas_2', k::DOUBLE FROM e UNION ALL
+        SELECT sequence_number, edge_ms, 'anomaly_score_stream6', score FROM e UNION ALL SELECT sequence_number, edge_ms, 'anomaly_score_stream9', k / 40.0::DOUBLE FROM e UNION ALL
+        SELECT sequence_number, edge_ms, 'anomaly_score_stream_11', device_id % 7 / 3.0::DOUBLE FROM e)
         SELECT sequence_number, measure_name, 'DOUBLE' AS measure_value_type, round(v, 6) AS measure_value, time, 'test-factory-1' AS factory FROM p""",
-    "enriched_json": f"""WITH {SQL} SELECT sequence_number, '{{"k":"' || k || '","proc_time_ms":"' || edge_ms || '","anomaly_score_purge_gas":"' || device_id || '"}}' AS json FROM e""",
-    "envelope_json": f"""WITH {_DAILY}, v AS (SELECT device_id, window_start_ms, window_end_ms, count(*) AS n, device_id || '_' || window_start_ms || '_' || window_end_ms AS window_id FROM w GROUP BY ALL)
-        SELECT window_id, '{{"window_id":"' || window_id || '","device_id":' || device_id || ',"window_start_ms":' || window_start_ms || ',"window_end_ms":' || window_end_ms || ',"message_count":' || n
-        || ',"transaction_id":"tx-' || window_id || '","checkpoint_id":-1}}' AS json FROM v""",
+    "enriched_json": f"""WITH {SQL} SELECT sequence_number, '{{"k":"' || k || '","proc_time_ms":"' || edge_ms || '","anomaly_score_stream6":"' || score::DECIMAL(12,4) || '","anomaly_score_stream9":"' ||
+        (k / 40.0::DOUBLE)::DECIMAL(12,4) || '","anomaly_score_stream_11":"' || (device_id % 7 / 3.0::DOUBLE)::DECIMAL(12,4) || '"}}' AS json FROM e""",
+    "envelope_json": f"""WITH {_SCORES}, h AS (SELECT device_id, window_start_ms, window_end_ms, count(*) AS n, string_agg(sequence_number::VARCHAR, ',' ORDER BY edge_ms, sequence_number) AS message_ids,
+        string_agg(k::VARCHAR, ',' ORDER BY edge_ms, sequence_number) AS idempotency_keys, count(DISTINCT k) < count(*) AS twice FROM w GROUP BY ALL),
+        q AS (SELECT device_id, window_start_ms, string_agg(measure, ',' ORDER BY measure) AS measures, sum(sum + first * 2 + max * 3) AS total FROM s GROUP BY ALL),
+        t AS (SELECT device_id, window_start_ms, max(max) AS top FROM c GROUP BY ALL)
+        SELECT h.device_id || '_' || h.window_start_ms || '_' || h.window_end_ms AS window_id, h.device_id::VARCHAR AS device_id, h.window_start_ms, h.window_end_ms, n AS message_count,
+        h.window_end_ms + 5000 AS edge_processed_timestamp_ms, twice AS is_suspect_window, 'aggregated_anomaly_scores,aggregated_measurements,checkpoint_id,device_id,edge_processed_timestamp_ms,idempotency_keys,'
+        || 'is_suspect_window,message_count,message_ids,metadata,transaction_id,window_end_ms,window_id,window_start_ms' AS keys,
+        'tx-' || h.device_id || '_' || h.window_start_ms || '_' || h.window_end_ms AS transaction_id, -1::BIGINT AS checkpoint_id, message_ids, idempotency_keys, measures, round(total, 6) AS total,
+        round(top, 6) AS top, n::VARCHAR AS messages FROM h JOIN q USING (device_id, window_start_ms) JOIN t USING (device_id, window_start_ms)""",
     "stamped_messages": f"""WITH {SQL} SELECT sequence_number, 'edge-1' AS device, edge_ms + 5000 + k AS cloud_timestamp_ms, 5000 + k - 5 AS clock_offset_ms, edge_ms + 5000 + k - 5 AS corrected_timestamp_ms FROM e""",
-    "idempotency_flag": f"""WITH {SQL} SELECT device_id, sequence_number, k, row_number() OVER (PARTITION BY device_id, k ORDER BY sequence_number) > 1 AS is_duplicate FROM e""",
+    "idempotency_flag": f"""WITH {SQL} SELECT device_id, sequence_number, k, k % 10 > 0 AND row_number() OVER (PARTITION BY device_id, k ORDER BY sequence_number) > 1 AS is_duplicate FROM e""",
     "duplicate_passthrough": f"""WITH {SQL}, d AS (SELECT *, row_number() OVER (PARTITION BY device_id, k ORDER BY sequence_number) AS n FROM e)
         SELECT device_id, count(*) AS passed, count(*) FILTER (WHERE n = 1) AS scored, count(*) FILTER (WHERE n = 1) AS kept, round(max(score) FILTER (WHERE n = 1), 6) AS top FROM d GROUP BY device_id""",
     "sequence_gap": f"""WITH {SQL}, g AS (SELECT device_id, sequence_number, sequence_number - (lag(sequence_number) OVER (PARTITION BY device_id ORDER BY sequence_number) + 1) AS sequence_gap FROM e)
@@ -278,10 +346,19 @@ ORACLES = {
         r AS (SELECT device_id, window_start_ms, window_end_ms, n, keys AS known, true AS accepted FROM n WHERE n = 1 UNION ALL
         SELECT n.device_id, n.window_start_ms, n.window_end_ms, n.n, CASE WHEN list_has_any(r.known, n.keys) THEN r.known ELSE list_concat(r.known, n.keys) END, NOT list_has_any(r.known, n.keys)
         FROM r JOIN n ON n.device_id = r.device_id AND n.n = r.n + 1) SELECT device_id, window_start_ms, window_end_ms, accepted FROM r""",
+    "cloud_window_dedup_ttl": f"""WITH RECURSIVE {_WINDOWS}, y AS (SELECT device_id, window_start_ms, window_end_ms, CASE WHEN message_count % 3 > 0 THEN list_append(list_transform(keys, lambda x: 'k' || x),
+        't' || window_start_ms // {4 * DAY_MS}) ELSE list_transform(keys, lambda x: 'k' || x) END AS own FROM v), n AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY window_start_ms) AS n FROM y),
+        r AS (SELECT device_id, window_start_ms, window_end_ms, n, list_transform(own, lambda x: {{'m': x, 'at': window_end_ms}}) AS known, true AS accepted FROM n WHERE n = 1 UNION ALL
+        SELECT n.device_id, n.window_start_ms, n.window_end_ms, n.n, CASE WHEN list_has_any(list_transform(list_filter(r.known, lambda x: n.window_end_ms - x.at <= {7 * DAY_MS}), lambda x: x.m), n.own) THEN r.known
+        ELSE list_concat(r.known, list_transform(n.own, lambda x: {{'m': x, 'at': n.window_end_ms}})) END,
+        NOT list_has_any(list_transform(list_filter(r.known, lambda x: n.window_end_ms - x.at <= {7 * DAY_MS}), lambda x: x.m), n.own)
+        FROM r JOIN n ON n.device_id = r.device_id AND n.n = r.n + 1) SELECT device_id, window_start_ms, window_end_ms, accepted FROM r""",
     "out_of_order_windows": f"""WITH {_WINDOWS}, a AS (SELECT *, (window_start_ms + message_count % 3 * {2 * DAY_MS} + message_count) * 100 + window_start_ms // {DAY_MS} % 100 AS arrival FROM v)
         SELECT device_id, window_start_ms, window_end_ms, coalesce(window_start_ms < max(window_end_ms) OVER (PARTITION BY device_id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS is_out_of_order FROM a""",
     "receipt_metadata": f"""WITH {_WINDOWS} SELECT device_id, window_start_ms, window_end_ms, 'cloud_dedup_passed=true;cloud_received_timestamp_ms=' || (window_end_ms + 1000) || ';messages=' || message_count AS metadata FROM v""",
-    "clock_offset_rolling": f"""WITH {_CLOCK} SELECT device_id, sequence_number, offset_ms, median_ms, round(std_ms + {OFF_TIES}::DOUBLE, 6) AS std_ms, estimate_ms, initialised FROM z""",
+    "clock_offset_rolling": f"""WITH {_CLOCK} SELECT device_id, sequence_number, offset_ms, median_ms, round(std_ms * {GRID}) / {GRID} AS std_ms, estimate_ms, initialised FROM z""",
+    "clock_reset": f"""WITH {_clock("device_id, epoch", "i")}, x AS (SELECT *, coalesce(abs(offset_ms - estimate_ms) > 5000, false) AS exceeded FROM z) SELECT device_id, epoch, sequence_number,
+        len(recent)::INT AS samples, median_ms, estimate_ms, initialised, (sum(exceeded::INT) OVER (PARTITION BY device_id, epoch ORDER BY sequence_number ROWS UNBOUNDED PRECEDING))::BIGINT AS exceed_count FROM x""",
     "drift_exceeded": f"""WITH {_CLOCK}, x AS (SELECT *, coalesce(abs(offset_ms - estimate_ms) > 5000, false) AS exceeded FROM z) SELECT device_id, sequence_number, exceeded,
         (sum(exceeded::INT) OVER (PARTITION BY device_id ORDER BY sequence_number ROWS UNBOUNDED PRECEDING))::BIGINT AS exceed_count FROM x""",
     "timestamp_correction": f"""WITH {_CLOCK} SELECT sequence_number, edge_ms + coalesce(estimate_ms, 0) AS corrected_timestamp_ms FROM z""",

@@ -8,38 +8,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.anomaly import backoff_ms
-from ..functions.times import DAY_MS, MINUTE_MS
+from ..functions.times import DAY_MS
 from ..operators import outbox, points
-from ..streaming.sinks import hour_columns, retained
+from ..streaming.sinks import delivery_counters, hour_columns, retained
 from .tables import MEASURES, SQL, readings
 
 #: The end of the tables' time, 2024-01-31.
 NOW_MS = 1_706_659_200_000
 
-#: What a dashboard of the process shows, each over the last 15 minutes.
-DASHBOARD = ("anomaly_score_stream6", "anomaly_score_stream9", "anomaly_score_stream11", *(f"xmeas_{i}" for i in (1, 2, 8, 6, 9, 10, 12, 13, 15, 16, 17, 19, 20, 21, 22)))
+#: What a dashboard of the process shows.
+DASHBOARD = ("anomaly_score_stream6", "anomaly_score_stream9", "anomaly_score_stream_11", *(f"xmeas_{i}" for i in (1, 2, 8, 6, 9, 10, 12, 13, 15, 16, 17, 19, 20, 21, 22)))
 
 
-def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = readings(spark, sf_dir)
+def _long(spark: SparkSession, sf_dir: str, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+    read = readings(spark, sf_dir, start_ms, end_ms)
     return read.select(F.col("measure").alias("measure_name"), F.col("value").cast("string").alias("measure_value"), F.col("edge_ms").alias("time"))
 
 
 def _series(name: str, days: int, spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = points.time_series(_long(spark, sf_dir), name, NOW_MS - days * DAY_MS, NOW_MS)
+    start = NOW_MS - days * DAY_MS
+    found = points.time_series(_long(spark, sf_dir, start, NOW_MS), [name], start, NOW_MS)
     return found.select("measure_name", F.posexplode("series").alias("place", "x")).select("measure_name", "place", "x.time", "x.value")
 
 
 def dashboard_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of a dashboard's series of 15 minutes, over measures named as it names them."""
-    named = F.element_at(F.array(*map(F.lit, DASHBOARD)), (F.col("sequence_number") % len(DASHBOARD) + 1).cast("int"))
-    long = readings(spark, sf_dir).select(named.alias("measure_name"), F.col("value").cast("string").alias("measure_value"), F.col("edge_ms").alias("time"))
+    """All of a dashboard's series, in one scan, over measures named as it names them; of a day, as the tables have few readings in 15 minutes."""
     end = NOW_MS - 15 * DAY_MS
-    found = [points.time_series(long, name, end - 15 * MINUTE_MS * 96, end) for name in DASHBOARD]
-    union = found[0]
-    for df in found[1:]:
-        union = union.unionByName(df)
-    return union.select("measure_name", F.size("series").alias("points"), F.round(F.aggregate("series", F.lit(0.0), lambda a, x: a + x["value"]), 6).alias("total"))
+    named = F.element_at(F.array(*map(F.lit, DASHBOARD)), (F.col("sequence_number") % len(DASHBOARD) + 1).cast("int"))
+    long = readings(spark, sf_dir, end - DAY_MS, end).select(named.alias("measure_name"), F.col("value").cast("string").alias("measure_value"), F.col("edge_ms").alias("time"))
+    return points.time_series(long, DASHBOARD, end - DAY_MS, end).select("measure_name", F.size("series").alias("points"), F.round(F.aggregate("series", F.lit(0.0), lambda a, x: a + x["value"]), 6).alias("total"))
 
 
 def tail_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +82,7 @@ def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retention_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = retained(_long(spark, sf_dir), NOW_MS, 7)
+    kept = retained(_long(spark, sf_dir, NOW_MS - 7 * DAY_MS), NOW_MS, 7)
     return kept.groupBy("measure_name").agg(F.count("*").alias("points"), F.min("time").alias("oldest"))
 
 
@@ -95,9 +92,11 @@ def hourly_csv_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a sink's run would count: processed, sent and failed, by a ledger's states."""
-    ledger = readings(spark, sf_dir).withColumn("state", F.when(F.col("k") < 90, "SENT").when(F.col("k") < 97, "FAILED").otherwise("PENDING"))
-    return ledger.groupBy("device_id").agg(F.count("*").alias("processed"), F.count_if(F.col("state") == "SENT").alias("sent"), F.count_if(F.col("state") == "FAILED").alias("failed"))
+    """What a notification sink counts, by device: a channel takes nine in ten messages, another all."""
+    read = readings(spark, sf_dir).select(F.col("device_id").cast("string").alias("device_id"), F.col("sequence_number").cast("string").alias("alert_id"), "k")
+    tried = F.explode(F.array(F.struct(F.lit("Console").alias("channel"), F.lit(True).alias("sent")), F.struct(F.lit("SNS").alias("channel"), (F.col("k") < 90).alias("sent"))))
+    ledger = read.select("device_id", "alert_id", tried.alias("x")).select("device_id", "alert_id", "x.channel", "x.sent")
+    return delivery_counters(ledger, ["device_id"])
 
 
 QUERIES = {
@@ -129,5 +128,6 @@ ORACLES = {
     "backoff_schedule": "SELECT n_nationkey AS retries, least(1000 * power(2, n_nationkey), 60000)::BIGINT AS wait_ms FROM nation",
     "retention_filter": f"""WITH {SQL} SELECT measure AS measure_name, count(*) AS points, min(edge_ms) AS oldest FROM e WHERE edge_ms >= {NOW_MS - 7 * DAY_MS} GROUP BY measure""",
     "hourly_csv_layout": f"""WITH {SQL} SELECT strftime(ts, '%Y/%m/%d/%H') AS prefix, count(*) AS rows FROM events GROUP BY ALL""",
-    "store_counters": f"""WITH {SQL} SELECT device_id, count(*) AS processed, count(*) FILTER (WHERE k < 90) AS sent, count(*) FILTER (WHERE k BETWEEN 90 AND 96) AS failed FROM e GROUP BY device_id""",
+    "store_counters": f"""WITH {SQL} SELECT device_id::VARCHAR AS device_id, count(*) AS processed, count(*) FILTER (WHERE k < 90) AS sent, count(*) FILTER (WHERE k >= 90) AS failed,
+        count(*) + count(*) FILTER (WHERE k < 90) AS deliveries FROM e GROUP BY device_id""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import epoch_ms
+from ..functions.times import between, epoch_ms
 
 #: A score is a value over this; above THRESHOLD it is an anomaly.
 SCALE, THRESHOLD = 100.0, 1.0
@@ -19,9 +19,11 @@ SQL = """e AS (
 )"""
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """sequence_number, device_id, measure, edge_ms, value, score, props, k of each event."""
+def readings(spark: SparkSession, sf_dir: str, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+    """sequence_number, device_id, measure, edge_ms, value, score, props, k of each event, of a closed time range if given."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if start_ms is not None or end_ms is not None:
+        events = events.where(between("ts", start_ms, end_ms))
     return events.select(
         F.col("event_id").alias("sequence_number"),
         F.col("user_id").alias("device_id"),

@@ -11,8 +11,9 @@ from ..operators import points, scoring, stats, windows
 from .tables import MEASURES, SQL, THRESHOLD, readings
 
 KEYS = ["device_id", "measure", "window_start_ms", "window_end_ms"]
-#: Added before rounding what can lie halfway between two roundings.
-OFF_TIES = 3e-8
+#: Variances are shown in steps of 1 / GRID. A value in cents has a variance that may lie halfway between two decimals,
+#: and two ways to add would then round it apart; halfway between two such binary steps it can't lie.
+GRID = 1 << 20
 WINDOW = ["device_id", "window_start_ms", "window_end_ms"]
 
 
@@ -21,6 +22,11 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def gridded(df: DataFrame, *columns: str) -> DataFrame:
+    """Doubles to the nearest step of GRID."""
+    return df.withColumns({c: F.round(F.col(c) * GRID) / GRID for c in columns})
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings in windows of a day."""
     return windows.event_windows(readings(spark, sf_dir), "1 day")
@@ -28,8 +34,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tumbling_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = stats.measurement_stats(daily(spark, sf_dir), KEYS)
-    found = found.withColumns({c: F.col(c) + OFF_TIES for c in ("variance", "std_dev")})
-    return rounded(found, "sum", "avg", "variance", "std_dev")
+    return gridded(rounded(found, "sum", "avg"), "variance", "std_dev")
 
 
 def tumbling_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,8 +90,8 @@ def count_window_50(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_sliding_166_20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = windows.count_slides(readings(spark, sf_dir), 166, 20, ["measure"], "sequence_number", "value")
-    return rounded(found.select("measure", "sequence_number", "n", "in_window", "mean"), "mean")
+    found = windows.count_slides(readings(spark, sf_dir), 166, 20, ["device_id"], "sequence_number", "value")
+    return rounded(found.select("device_id", "sequence_number", "n", "in_window", "mean"), "mean")
 
 
 def _elements(df: DataFrame, array: str, size: int, *keep: str) -> DataFrame:
@@ -122,9 +127,10 @@ def p99_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adaptive_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scoring.adaptive_threshold(readings(spark, sf_dir), ["measure"], ["edge_ms", "sequence_number"], base=1.5)
+    """A device's thresholds; histories are short here, as the tables have few readings of a device."""
+    found = scoring.adaptive_threshold(readings(spark, sf_dir), ["device_id"], ["edge_ms", "sequence_number"], base=0.7, size=50, warm_up=20)
     found = found.withColumn("triggered", F.col("score") > F.col("adaptive_threshold"))
-    return rounded(found.select("measure", "sequence_number", "adaptive_threshold", "triggered"), "adaptive_threshold")
+    return rounded(found.select("device_id", "sequence_number", "adaptive_threshold", "triggered"), "adaptive_threshold")
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +230,7 @@ _FEATURES = ", ".join(
 
 ORACLES = {
     "tumbling_stats": f"""WITH {_STATS} SELECT device_id, measure, window_start_ms, window_end_ms, count, round(sum, 6) AS sum, min, max, round(avg, 6) AS avg,
-        round(variance + {OFF_TIES}::DOUBLE, 6) AS variance, round(std_dev + {OFF_TIES}::DOUBLE, 6) AS std_dev, first, last FROM s""",
+        round(variance * {GRID}) / {GRID} AS variance, round(std_dev * {GRID}) / {GRID} AS std_dev, first, last FROM s""",
     "tumbling_offset": f"""WITH {SQL} SELECT device_id, edge_ms - (edge_ms - {6 * HOUR_MS}) % {DAY_MS} AS window_start_ms, count(*) AS messages, max(value) AS max_value FROM e GROUP BY ALL""",
     "sliding_window_stats": f"""WITH {_DAILY}, d AS (SELECT * FROM w UNION ALL SELECT * REPLACE (window_start_ms - {DAY_MS} AS window_start_ms) FROM w)
         SELECT measure, window_start_ms, count(*) AS messages, round(avg(value), 6) AS mean FROM d GROUP BY ALL""",
@@ -242,9 +248,9 @@ ORACLES = {
         string_agg(k::VARCHAR, ',' ORDER BY edge_ms, sequence_number) AS keys FROM w GROUP BY ALL""",
     "count_window_50": f"""WITH {SQL}, n AS (SELECT sequence_number, (row_number() OVER (ORDER BY sequence_number) - 1) // 50 AS window_no FROM e)
         SELECT window_no AS window, min(sequence_number) AS first, max(sequence_number) AS last, count(*) AS messages FROM n GROUP BY window_no HAVING count(*) = 50""",
-    "count_sliding_166_20": f"""WITH {SQL}, n AS (SELECT measure, sequence_number, row_number() OVER (PARTITION BY measure ORDER BY sequence_number) AS n,
-        count(*) OVER l AS in_window, avg(value) OVER l AS mean FROM e WINDOW l AS (PARTITION BY measure ORDER BY sequence_number ROWS 165 PRECEDING))
-        SELECT measure, sequence_number, n, in_window, round(mean, 6) AS mean FROM n WHERE n % 20 = 0""",
+    "count_sliding_166_20": f"""WITH {SQL}, n AS (SELECT device_id, sequence_number, row_number() OVER (PARTITION BY device_id ORDER BY sequence_number) AS n,
+        count(*) OVER l AS in_window, avg(value) OVER l AS mean FROM e WINDOW l AS (PARTITION BY device_id ORDER BY sequence_number ROWS 165 PRECEDING))
+        SELECT device_id, sequence_number, n, in_window, round(mean, 6) AS mean FROM n WHERE n % 20 = 0""",
     "shingle_vectors": f"""WITH {SQL}, n AS (SELECT device_id, sequence_number, lag(value, 3) OVER o AS s0, lag(value, 2) OVER o AS s1, lag(value, 1) OVER o AS s2, value AS s3
         FROM e WINDOW o AS (PARTITION BY device_id ORDER BY sequence_number)) SELECT * FROM n WHERE s0 IS NOT NULL""",
     "shingle_cyclic": f"""WITH {SQL}, n AS (SELECT device_id, sequence_number, value, row_number() OVER (PARTITION BY device_id ORDER BY sequence_number) AS n FROM e)
@@ -255,9 +261,9 @@ ORACLES = {
     "time_since_last_anomaly": f"""WITH {_WHOLE} SELECT device_id, window_start_ms, window_end_ms, since AS time_since_last_anomaly_ms FROM t""",
     "p99_index": f"""WITH {SQL}, r AS (SELECT measure, value, row_number() OVER (PARTITION BY measure ORDER BY value) - 1 AS place, count(*) OVER (PARTITION BY measure) AS n FROM e)
         SELECT measure, n, value AS quantile FROM r WHERE place = floor(n * 0.99::DOUBLE)::BIGINT""",
-    "adaptive_threshold": f"""WITH {SQL}, r AS (SELECT measure, sequence_number, score, list_sort(list(score) OVER (PARTITION BY measure ORDER BY edge_ms, sequence_number ROWS 999 PRECEDING)) AS recent FROM e),
-        t AS (SELECT *, CASE WHEN len(recent) < 100 THEN 1.5::DOUBLE ELSE greatest(1.5::DOUBLE, 0.9::DOUBLE * recent[floor(len(recent) * 0.99::DOUBLE)::INT + 1]) END AS threshold FROM r)
-        SELECT measure, sequence_number, round(threshold, 6) AS adaptive_threshold, score > threshold AS triggered FROM t""",
+    "adaptive_threshold": f"""WITH {SQL}, r AS (SELECT device_id, sequence_number, score, list_sort(list(score) OVER (PARTITION BY device_id ORDER BY edge_ms, sequence_number ROWS 49 PRECEDING)) AS recent FROM e),
+        t AS (SELECT *, CASE WHEN len(recent) < 20 THEN 0.7::DOUBLE ELSE greatest(0.7::DOUBLE, 0.9::DOUBLE * recent[floor(len(recent) * 0.99::DOUBLE)::INT + 1]) END AS threshold FROM r)
+        SELECT device_id, sequence_number, round(threshold, 6) AS adaptive_threshold, score > threshold AS triggered FROM t""",
     "feature_vectors": f"""WITH {_STATS}, h AS (SELECT device_id, window_start_ms, window_end_ms, count(*) AS message_count, max(score) AS score, count(*) FILTER (WHERE score > {THRESHOLD}) AS anomaly_count FROM w GROUP BY ALL),
         t AS (SELECT *, least({100 * DAY_MS}, coalesce(window_end_ms - last_value(CASE WHEN anomaly_count > 0 THEN window_end_ms END IGNORE NULLS)
         OVER (PARTITION BY device_id ORDER BY window_end_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), {scoring.NEVER_MS})) AS since FROM h)

@@ -29,7 +29,11 @@ class Config:
     far_ms: int = 300_000
     cooldown_ms: int = 60_000
     key_ttl: str = "24 hours"
-    batch_size: int = 50
+    batch_size: int = 10
+    #: Keys of a device's Bloom filter; 0 keeps the keys themselves.
+    bloom_capacity: int = 0
+    #: Suppress and cool down by the time of processing, not of the event.
+    processing_clock: bool = False
 
     @classmethod
     def of(cls, arguments: Mapping[str, str], properties: Mapping[str, str] | None = None) -> Config:
@@ -39,7 +43,7 @@ class Config:
         unknown = sorted(set(merged) - set(known))
         if unknown:
             raise ValueError(f"unknown settings: {', '.join(unknown)}")
-        return replace(cls(), **{k: known[k](v) for k, v in merged.items()})
+        return replace(cls(), **{k: str(v).lower() in ("true", "1", "yes") if known[k] is bool else known[k](v) for k, v in merged.items()})
 
 
 def parse_arguments(args: list[str]) -> dict[str, str]:

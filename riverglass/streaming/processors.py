@@ -1,106 +1,77 @@
-"""Stateful processors of the streaming jobs. State is in the state store, so it outlives executors and restarts."""
+"""The stateful processor of the streaming jobs. State is in the state store, so it outlives executors and restarts."""
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.forest import Forest
+from ..operators.folds import Step
 
+TIME = "event_time"
 
-class EdgeScorer(StatefulProcessor):
-    """Adds is_duplicate, whether a row's idempotency_key was seen within the time to live, and score.
 
-    A row's vector is scored by the key's forest, which then learns it; duplicates and null vectors pass unscored. One
-    processor does both, so a task has one stateful worker. The forest is one pickled value of the state, bounded by
-    trees times sample size.
-    """
-
-    def __init__(self, ttl_ms: int = 86_400_000, **forest: Any):
-        self.ttl_ms, self.settings = ttl_ms, forest
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "idempotency_key string", "at bigint", ttlDurationMs=self.ttl_ms)
-        self.state = handle.getValueState("forest", "forest binary, scored bigint")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        held = self.state.get() if self.state.exists() else None
-        forest, scored = (pickle.loads(held[0]), held[1]) if held else (Forest(**self.settings), 0)
-        for batch in rows:
-            batch = batch.sort_values(["edge_timestamp_ms", "sequence_number"], kind="stable")
-            flags, scores = [], []
-            for k, at, vector in zip(batch["idempotency_key"], batch["edge_timestamp_ms"], batch["vector"], strict=True):
-                known = self.seen.containsKey((k,))
-                flags.append(known)
-                scores.append(None)
-                if known:
-                    continue
-                self.seen.updateValue((k,), (int(at),))
-                if vector is not None:
-                    point = [float(x) for x in vector]
-                    scores[-1] = forest.score(point)
-                    forest.update(point)
-                    scored += 1
-            yield batch.drop(columns=["vector"]).assign(is_duplicate=flags, score=pd.Series(scores, index=batch.index, dtype="float64"))
-        self.state.update((pickle.dumps(forest), scored))
-
-    def close(self) -> None:
-        return None
+class OrderedFold(StatefulProcessor):
+    """A batch fold's step over a key's rows of a stream, in order of event time across batches.
 
+    Rows wait in the state until the watermark has passed them; then no earlier row can come, as Spark drops those
+    that are late. What waits is what came within the watermark's delay. The fold's own state is one pickled value.
+    """
 
-class Suppressor(StatefulProcessor):
-    """Passes on alerts that the time since the key's last passed one and their ratio allow."""
-
-    def __init__(self, near_ms: int = 60_000, far_ms: int = 300_000):
-        self.near_ms, self.far_ms = near_ms, far_ms
+    def __init__(self, init: Callable[[], Any], step: Step, order: Sequence[str], columns: Sequence[str]):
+        self.start, self.step, self.order, self.columns = init, step, list(order), list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("last", "at bigint")
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "held binary")
+        self.state = handle.getValueState("state", "held binary")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        last = self.state.get()[0] if self.state.exists() else None
-        for batch in rows:
-            batch = batch.sort_values(["timestamp_ms", "alert_id"], kind="stable")
-            keep = []
-            for at, ratio in zip(batch["timestamp_ms"], batch["ratio"], strict=True):
-                held = last is not None and (at - last < self.near_ms and ratio < 3.0 or at - last < self.far_ms and ratio < 1.5)
-                keep.append(not held)
-                last = last if held else int(at)
-            yield batch[keep]
-        if last is not None:
-            self.state.update((last,))
+        yield from self._due([row for batch in rows for row in _plain(batch)], timerValues)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        yield from self._due([], timerValues)
+
+    def _due(self, new: list[dict[str, Any]], timerValues: Any) -> Iterator[pd.DataFrame]:
+        upto, at = timerValues.getCurrentWatermarkInMs(), self.order[0]
+        rows = [pickle.loads(held) for (held,) in self.waiting.get()] + new
+        later = [r for r in rows if r[at] > upto]
+        due = sorted((r for r in rows if r[at] <= upto), key=lambda r: [(r[c] is not None, r[c]) for c in self.order])
+        if later:
+            self.waiting.put([(pickle.dumps(r),) for r in later])
+            self.handle.registerTimer(int(min(r[at] for r in later)))
+        else:
+            self.waiting.clear()
+        if due:
+            state = pickle.loads(self.state.get()[0]) if self.state.exists() else self.start()
+            for row in due:
+                state, found = self.step(state, row)
+                row.update(found)
+            self.state.update((pickle.dumps(state),))
+            yield pd.DataFrame([[r[c] for c in self.columns] for r in due], columns=self.columns, dtype=object).astype({TIME: "datetime64[ns]"})
 
     def close(self) -> None:
         return None
 
 
-class WindowAcceptor(StatefulProcessor):
-    """Passes on windows of which neither key nor any idempotency key nor transaction is known; only those become known."""
+def _plain(batch: pd.DataFrame) -> Iterator[dict[str, Any]]:
+    """A batch's rows, missing values as None."""
+    columns = {c: [None if v is None or isinstance(v, float) and v != v or v is pd.NaT else v for v in batch[c].tolist()] for c in batch.columns}
+    for values in zip(*columns.values(), strict=True):
+        yield dict(zip(columns, values, strict=True))
 
-    def __init__(self, ttl_ms: int = 86_400_000):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.known = handle.getMapState("known", "mark string", "at bigint", ttlDurationMs=self.ttl_ms)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            batch = batch.sort_values(["window_start_ms", "window_key"], kind="stable")
-            keep = []
-            for row in batch.itertuples():
-                marks = [f"w:{row.window_key}", *(f"k:{k}" for k in row.idempotency_keys)]
-                if getattr(row, "transaction_id", None):
-                    marks.append(f"t:{row.transaction_id}")
-                fresh = not any(self.known.containsKey((m,)) for m in marks)
-                keep.append(fresh)
-                if fresh:
-                    for m in marks:
-                        self.known.updateValue((m,), (int(row.window_end_ms),))
-            yield batch[keep]
+def ordered(stream: DataFrame, keys: Sequence[str], order: Sequence[str], init: Callable[[], Any], step: Step, added: str) -> DataFrame:
+    """A stream with the columns (a DDL string) that a fold's step adds to each row, as fold() does for a batch.
 
-    def close(self) -> None:
-        return None
+    The stream has a watermark on event_time, the first of order is the same time in milliseconds, and event_time goes
+    on to what follows. Needs the RocksDB state store.
+    """
+    names = [x.strip().split(" ")[0] for x in added.split(",")]
+    kind = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema), added])
+    processor = OrderedFold(init, step, order, [*stream.columns, *names])
+    return stream.groupBy(*keys).transformWithStateInPandas(processor, outputStructType=kind, outputMode="append", timeMode="eventTime", eventTimeColumnName=TIME)

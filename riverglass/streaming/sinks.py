@@ -8,6 +8,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.schemas import OUTBOX_DDL
 from ..functions.times import DAY_MS
 from ..operators import outbox
 
@@ -117,29 +118,57 @@ class ListChannel:
         return True
 
 
-def notifications(channels: Mapping[str, Channel], size: int = 10) -> Batch:
+LEDGER = "alert_id string, device_id string, channel string, sent boolean"
+
+
+def notifications(channels: Mapping[str, Channel], size: int = 10, ledger: str | None = None) -> Batch:
     """Sends each alert to the channels it is routed to, size alerts at a time from the driver, in order of time.
 
-    The driver holds one partition's alerts at once; suppression and cooldown come before.
+    The driver holds one partition's alerts at once; suppression and cooldown come before. ledger is a folder that gets
+    what became of each (LEDGER), a batch that comes again replacing itself. A channel that fails or raises keeps the
+    others from nothing.
     """
 
     def write(df: DataFrame, batch: int) -> None:
         waiting: list[Row] = []
+        told: list[tuple] = []
         for alert in df.orderBy("timestamp_ms", "alert_id").toLocalIterator():
             waiting.append(alert)
             if len(waiting) == size:
-                _send(waiting, channels)
+                told += _send(waiting, channels)
                 waiting = []
-        _send(waiting, channels)
+        told += _send(waiting, channels)
+        if ledger:
+            df.sparkSession.createDataFrame(told, LEDGER).write.mode("overwrite").parquet(f"{ledger}/batch={batch}")
 
     return write
 
 
-def _send(alerts: list[Row], channels: Mapping[str, Channel]) -> None:
+def _send(alerts: list[Row], channels: Mapping[str, Channel]) -> list[tuple]:
+    """Send alerts; (alert_id, device_id, channel, whether it took it) of each."""
+    told = []
     for alert in alerts:
         for name in alert["notification_channels"]:
             if name in channels:
-                channels[name].send(alert)
+                try:
+                    sent = bool(channels[name].send(alert))
+                except Exception:  # noqa: BLE001 - a channel's fault is its own
+                    sent = False
+                told.append((alert["alert_id"], str(alert["device_id"]) if "device_id" in alert else None, name, sent))
+    return told
+
+
+def delivery_counters(ledger: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Alerts processed, sent (all their channels took them) and failed, and deliveries, of a ledger."""
+    each = ledger.groupBy(*by, "alert_id").agg(F.bool_and("sent").alias("all"), F.count_if("sent").alias("took"))
+    return each.groupBy(*by).agg(F.count("*").alias("processed"), F.count_if("all").alias("sent"), F.count_if(~F.col("all")).alias("failed"), F.sum("took").alias("deliveries"))
+
+
+def notified(alerts: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Alerts with notified_channels, those that took them."""
+    took = ledger.where("sent").groupBy(F.col("alert_id").alias("_id")).agg(F.array_sort(F.collect_set("channel")).alias("_took"))
+    found = alerts.join(took, F.col("alert_id") == F.col("_id"), "left")
+    return found.withColumn("notified_channels", F.coalesce("_took", F.expr("cast(array() as array<string>)"))).drop("_id", "_took")
 
 
 def routed_batch(*outputs: tuple[Callable[[DataFrame], DataFrame], Batch]) -> Batch:
@@ -183,12 +212,60 @@ def kept_offline(windows: DataFrame, now_ms: int, urgent: float = 1.5) -> DataFr
 
 
 def send_or_keep(send: Callable[[DataFrame, int], None], keep: Batch, now_ms: Callable[[], int]) -> Batch:
-    """A batch's windows are sent; where that fails they go to the outbox sink instead, and the stream goes on."""
+    """A batch's windows are sent; where that fails, whatever the error, they go to the outbox sink instead, and the stream goes on."""
 
     def write(df: DataFrame, batch: int) -> None:
         try:
             send(df, batch)
-        except OSError:
+        except Exception:  # noqa: BLE001 - a failing write raises errors of many kinds
             keep(kept_offline(df, now_ms()), batch)
 
     return write
+
+
+class OutboxStore:
+    """An outbox in a shared folder, in versions; the last complete one counts, and the one before is kept for readers."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _fs(self):
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[int]:
+        files, path = self._fs(), self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        if not files.exists(path(self.path)):
+            return []
+        names = [x.getPath().getName() for x in files.listStatus(path(self.path))]
+        return sorted(int(n[2:]) for n in names if n.startswith("v=") and files.exists(path(f"{self.path}/{n}/_SUCCESS")))
+
+    def load(self) -> DataFrame:
+        """The messages that wait, without corrupt ones."""
+        found = self._versions()
+        if not found:
+            return self.spark.createDataFrame([], OUTBOX_DDL)
+        return outbox.load(self.spark.read.schema(OUTBOX_DDL).parquet(f"{self.path}/v={found[-1]}"))
+
+    def save(self, box: DataFrame) -> None:
+        """Write the next version; older ones than the last go."""
+        found = self._versions()
+        version = found[-1] + 1 if found else 0
+        box.select(*self.load().columns).write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        for old in found[:-1]:
+            self._fs().delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={old}"), True)
+
+    def keep(self, df: DataFrame, batch: int) -> None:
+        """Add a batch's messages, as far as there is space; those that wait already, from a batch that comes again, are not added twice."""
+        box = self.load()
+        self.save(outbox.store(box, df.join(box, "message_id", "left_anti")))
+
+
+def replay(store: OutboxStore, send: Callable[[Row], bool], now_ms: Callable[[], int], n: int = 10) -> Batch:
+    """Drains an outbox at each batch of any stream, such as one that ticks every five seconds: n messages are sent again."""
+
+    def write(df: DataFrame, batch: int) -> None:
+        now = now_ms()
+        store.save(drain(outbox.expire(store.load(), now), now, send, n))
+
+    return write

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riverglass.functions import parsing, schemas
-from riverglass.operators import alerts, outbox, quality, stats, windows
+from riverglass.operators import alerts, outbox, quality, scoring, stats, windows
 from riverglass.operators.bloom import BloomFilter
 from riverglass.operators.folds import fold
 from riverglass.operators.transactions import Coordinator, Status
@@ -116,6 +116,46 @@ def test_outbox_case(spark):
     assert outbox.totals(left).first().pending == 8
 
 
+def test_an_outbox_fills_up_in_order_of_time(spark):
+    held = spark.createDataFrame([("old", "x" * 10, 0, 0, 0, 0, 0, True)], schemas.OUTBOX_DDL)
+    new = spark.createDataFrame([(f"m{i:02}", "x" * 10, i, 20_000 * i, 0, 0, 0, True) for i in range(20)], schemas.OUTBOX_DDL)
+    kept = {r.message_id for r in outbox.store(held, new, most_bytes=95).collect()}
+    assert kept == {"old", *(f"m{i:02}" for i in range(9))}
+
+
+def test_null_keys_are_no_duplicates(spark):
+    df = spark.createDataFrame([(1, None, i) for i in range(10)] + [(1, "a", 20), (1, "a", 21)], "device_id int, k string, at int")
+    found = quality.flag_duplicates(df, ["device_id", "k"], ["at"]).where("is_duplicate").collect()
+    assert [(r.k, r["at"]) for r in found] == [("a", 21)]
+    windows = spark.createDataFrame([(1, i, i + 1, f"w{i}", [None]) for i in range(3)], "device_id int, window_start_ms bigint, window_end_ms bigint, window_key string, idempotency_keys array<string>")
+    assert quality.accept_windows(windows).where("accepted").count() == 3
+
+
+def test_quantile_of_a_key_with_ties_and_signs(spark):
+    rng = random.Random(4)
+    rows = [(k, rng.choice([-5.5, 0.0, 1e9, rng.gauss(0, 3)])) for k in (1, 2, None) for _ in range(500)] + [(3, 2.0), (4, None)]
+    found = {r.k: (r.n, r.quantile) for r in stats.index_quantile(spark.createDataFrame(rows, "k int, v double"), ["k"], "v", 0.7).collect()}
+    for k in (1, 2, 3, None):
+        mine = sorted(v for key, v in rows if key == k)
+        assert found[k] == (len(mine), mine[int(len(mine) * 0.7)])
+    assert 4 not in found
+
+
+def test_a_scorer_of_ones_own(spark):
+    class Distance:
+        def __init__(self):
+            self.last = (0.0,)
+
+        def score(self, point):
+            return abs(point[0] - self.last[0])
+
+        def update(self, point):
+            self.last = point
+
+    df = spark.createDataFrame([(1, i, [float(i * i)]) for i in range(4)], "k int, i int, vector array<double>")
+    assert [r.score for r in scoring.forest_scores(df, ["k"], ["i"], make=Distance).orderBy("i").collect()] == [0.0, 1.0, 3.0, 5.0]
+
+
 def test_outbox_refuses_beyond_its_space(spark):
     empty = spark.createDataFrame([], schemas.OUTBOX_DDL)
     new = spark.createDataFrame([(f"m{i}", "12345", i, i, 0, 0, 0, True) for i in range(4)], schemas.OUTBOX_DDL)
