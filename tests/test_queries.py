@@ -5,16 +5,13 @@ import pytest
 from frames import same_rows
 from riverglass.plans import catalog
 
-#: Forests over whole tables take long; test_scoring.py has small ones.
-SLOW = {"rcf_secondary_scores", "rcf_alerts"}
-
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_matches_sql(spark, duck, data, name):
     same_rows(catalog.QUERIES[name](spark, data).toPandas(), duck.execute(catalog.ORACLES[name]).df())
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_query_without_sql_runs(spark, data, name):
     assert catalog.QUERIES[name](spark, data).count() > 0
 

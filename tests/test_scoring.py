@@ -47,6 +47,36 @@ def test_trees_hold_their_samples():
     assert {check(t.root) for t in forest.trees} == {40}
 
 
+def test_forest_scores_as_a_walk_of_its_nodes():
+    def walk(node, p, depth=0):
+        if node.cut is None:
+            return 1 / (depth + np.log2(node.size + 1)) if (node.low == p).all() else 1 / (depth + 1)
+        outside = sum(max(a - x, x - b, 0.0) for a, x, b in zip(node.low, p, node.high, strict=True))
+        parted = outside / (outside + (node.high - node.low).sum())
+        return parted / (depth + 1) + (1 - parted) * walk(node.left if p[node.dim] <= node.cut else node.right, p, depth + 1)
+
+    points = _points(120, 4) + [[1.0, 0.0, 1.0]] * 10
+    _, forest = _scores(points, trees=6, size=32)
+    for p in [*points[-20:], [5.0, 5.0, 5.0]]:
+        assert forest.score(p) == pytest.approx(np.mean([walk(t.root, p) for t in forest.trees]) * np.log2(33))
+
+
+@pytest.mark.parametrize("size", [1, 2, 17])
+def test_forest_takes_equal_close_and_odd_points(size):
+    close = float(np.nextafter(1.0, 2.0))
+    rng = random.Random(5)
+    points = [rng.choice([[1.0, 0.0], [close, 0.0], [1.0, -0.0], [float("nan"), 1e300], [float("inf"), 2.0], [3.0, 4.0]]) for _ in range(300)]
+    scores, forest = _scores(points, trees=5, size=size)
+    assert np.isfinite(scores).all() and min(scores) >= 0
+
+    def leaves(node):
+        return [(tuple(node.low), node.size)] if node.cut is None else leaves(node.left) + leaves(node.right)
+
+    for t in forest.trees:
+        held = leaves(t.root)
+        assert sum(n for _, n in held) == size == t.root.size and len({p for p, _ in held}) == len(held)
+
+
 def test_forest_scores_by_key_in_order(spark):
     rows = [(k, i, p) for k in range(3) for i, p in enumerate(_points(60, k))]
     random.Random(0).shuffle(rows)
