@@ -30,8 +30,8 @@ from .exact_dedup import BITMAP_BITS, bitmap, marked
 #: Words that an aligned block must have to be deleted.
 MIN_WORDS = 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Tasks over which the holders of a run are dealt.
-SALTS = 16
+#: Documents of a run compared by one call, about, and their bytes of lines; so for its holders. More are cut into blocks.
+BLOCK, BLOCK_BYTES = 512, 4 << 20
 #: Slots in which lines are counted; a line's count is the largest in its slot. Equal lines have equal counts, so a
 #: shared slot can make a line look less rare, but in all documents alike.
 RARITY_SLOTS = 1 << 17
@@ -319,12 +319,30 @@ def _others(left: DataFrame, runs: DataFrame, firsts: DataFrame, held: DataFrame
     holders = join_groups(runs.select("doc_id", "mark", "key"), groups, ["key"], "holders", total).where("holders is not null").select("doc_id", "mark", "key").distinct()
     forms = _each(_with_held(holders.select("doc_id", "mark").distinct(), held), form, "form binary", [pa.binary()])
     forms = holders.alias("a").join(forms.alias("b"), _same("a", "b")).select("a.*", "b.form")
-    forms = forms.groupBy("key", "form").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
-    # a run's documents and holders are dealt over SALTS tasks
-    forms = forms.withColumn("salt", F.pmod(F.xxhash64("form"), F.lit(SALTS)).cast("int"))
-    asking = asking.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    kind = left.schema["doc_id"].dataType.simpleString()
-    return asking.groupBy("key", "salt").cogroup(forms.groupBy("key", "salt")).applyInArrow(_settle(min_words), f"doc_id {kind}, mark bigint, gone array<int>")
+    forms = materialize(forms.groupBy("key", "form").agg(F.min(F.struct("doc_id", "mark")).alias("first")), "line-forms")
+    asking = materialize(asking, "line-askers")
+    # each block of a run's documents meets each block of its holders; most runs have one block of both
+    askers, formed = _blocks(asking, "held", "ask"), _blocks(forms, "form", "form")
+    counts = askers.join(formed, "key")
+    asking = _dealt(asking, counts, F.xxhash64("doc_id", "mark", "raws"), "ask", "form")
+    forms = _dealt(forms, counts, F.xxhash64("form"), "form", "ask")
+    kind, by = left.schema["doc_id"].dataType.simpleString(), ["key", "ask_block", "form_block"]
+    return asking.groupBy(*by).cogroup(forms.groupBy(*by)).applyInArrow(_settle(min_words), f"doc_id {kind}, mark bigint, gone array<int>")
+
+
+def _blocks(rows: DataFrame, lines: str, side: str) -> DataFrame:
+    """Per key the number of rows, side_rows, and of blocks that these are cut into, side_blocks."""
+    found = rows.groupBy("key").agg(F.count("*").alias(f"{side}_rows"), F.sum(F.octet_length(lines)).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col(f"{side}_rows") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1))
+    return found.select("key", f"{side}_rows", blocks.cast("int").alias(f"{side}_blocks"))
+
+
+def _dealt(rows: DataFrame, counts: DataFrame, by: Column, side: str, other: str) -> DataFrame:
+    """Rows with a block of their side, once for each block of the other one."""
+    extra = [c for c in counts.columns if c != "key"]
+    found = join_groups(rows, counts, ["key"], f"{side}_rows", rows.count()).where(F.col(f"{side}_blocks").isNotNull())
+    found = found.withColumn(f"{side}_block", F.pmod(by, F.col(f"{side}_blocks")).cast("int"))
+    return found.withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))).drop(*extra)
 
 
 def _slot_of(line: bytes) -> int:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import fold, rows
@@ -110,7 +111,9 @@ def test_a_block_of_lines_with_other_first_holders_goes(spark):
     assert found == {1: [], 2: [], 3: [0, 1], 4: [1, 2]}
 
 
-def test_all_pairs_are_aligned(spark):
+@pytest.mark.parametrize("block", [line_dedup.BLOCK, 3])
+def test_all_pairs_are_aligned(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
     rng = random.Random(12)
     passages = [[f"passage {k} line {n} of some words" for n in range(rng.randrange(1, 4))] for k in range(5)] + [["short one", "short two", "---", "a b"], ["x y", "z"]]
     x, y = passages[0], passages[1]
@@ -125,6 +128,29 @@ def test_all_pairs_are_aligned(spark):
     assert want[2] == {k for k, v in enumerate(texts[2].split("\n")) if v != "own c"}
 
 
+def test_a_run_that_most_documents_have_is_compared_in_blocks(spark, monkeypatch):
+    settle = line_dedup._settle
+
+    def watched(min_words):
+        of = settle(min_words)
+
+        def settled(asking, forms):
+            assert asking.num_rows <= 200 and forms.num_rows <= 200
+            return of(asking, forms)
+
+        return settled
+
+    monkeypatch.setattr(line_dedup, "_settle", watched)
+    monkeypatch.setattr(line_dedup, "BLOCK", 100)
+    rng = random.Random(3)
+    texts = ["one two\nthree four five"]
+    for i in range(900):  # the first holder has the lines in the other order; a line of few in between makes holders differ
+        pair = ["three four five", "one two"]
+        texts.append("\n".join([f"own {i}", *pair, rng.choice(["red", "blue", ""]) + f" {i % 300}"]))
+    found = {r.doc_id: list(r.gone) for r in line_dedup.line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), gone_col="gone").collect()}
+    assert found[0] == found[1] == [] and all(set(found[i]) >= {1, 2} for i in range(2, 901))
+
+
 def test_whole_documents_equal_brute_force(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
     rows_in = [(r.doc_id, r.text) for r in docs.orderBy("doc_id").collect()]
